@@ -14,7 +14,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from lakeloom.session import conf_scope
 from lakeloom.sources.files import stored_bytes
 
 TARGET_FILE_BYTES = 256 << 20
@@ -29,13 +28,11 @@ def files_for(total_bytes: int, file_bytes: int = TARGET_FILE_BYTES) -> int:
 def compact(spark: SparkSession, path: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> None:
     """Rewrite many small files as few of about ``file_bytes``, without a shuffle:
     the scan itself packs small files into splits of that size."""
-    packing = {
-        "spark.sql.files.maxPartitionBytes": str(file_bytes),
-        "spark.sql.files.openCostInBytes": "0",
-        "spark.sql.files.minPartitionNum": "1",
-    }
-    with conf_scope(spark, packing):
-        spark.read.parquet(path).write.mode("overwrite").parquet(target)
+    packing = spark.newSession()
+    packing.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
+    packing.conf.set("spark.sql.files.openCostInBytes", "0")
+    packing.conf.set("spark.sql.files.minPartitionNum", "1")
+    packing.read.parquet(path).write.mode("overwrite").parquet(target)
 
 
 def write_partitioned(df: DataFrame, target: str, columns: Sequence[str], mode: str = "overwrite") -> None:

@@ -6,6 +6,24 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from lakeloom.sources.files import FILE_FORMATS
+
+
+# Text forms that keep microseconds.
+TEXT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def write_files(df: DataFrame, path: str, file_format: str, mode: str = "append") -> None:
+    """Write Parquet, JSON or CSV (with header); text keeps full time precision."""
+    if file_format not in FILE_FORMATS:
+        raise ValueError(f"file format must be one of {', '.join(FILE_FORMATS)}: {file_format}")
+    writer = df.write.mode(mode).format(file_format)
+    if file_format != "parquet":
+        writer = writer.options(**TEXT_TIMES)
+    if file_format == "csv":
+        writer = writer.option("header", True)
+    writer.save(path)
+
 
 def land(df: DataFrame, base: str, run_stamp: str, name: str = "batch") -> str:
     """Append to the landing folder of one run, ``<base>/<name>_<run_stamp>``."""

@@ -114,6 +114,7 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._known: dict | None = None
 
     def _exists(self, path: str) -> bool:
         location = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -121,10 +122,13 @@ class KeyedTable:
         return location.getFileSystem(conf).exists(location)
 
     def exists(self) -> bool:
-        return self._exists(f"{self.path}/{_INFO}")
+        return self._known is not None or self._exists(f"{self.path}/{_INFO}")
 
     def _info(self) -> dict:
-        return json.loads(self.spark.read.text(f"{self.path}/{_INFO}", wholetext=True).first()["value"])
+        if self._known is None:
+            text = self.spark.read.text(f"{self.path}/{_INFO}", wholetext=True).first()["value"]
+            self._known = json.loads(text)
+        return self._known
 
     @property
     def keys(self) -> list[str]:
@@ -173,19 +177,10 @@ class KeyedTable:
             if len(hit_buckets) < len(per_bucket):
                 self._write(source.where(~in_hit), "append")
             if hit_buckets:
-                counts = Observation()
-                rewritten = (
-                    _updated(stored.where(in_hit), source.where(in_hit), join_keys)
-                    .unionByName(fresh.where(in_hit).withColumn("_matched", F.lit(None).cast("boolean")))
-                    .observe(
-                        counts,
-                        F.count_if(F.col("_matched")).alias("updated"),
-                        F.count_if(~F.col("_matched")).alias("copied"),
-                    )
-                    .drop("_matched")
+                rewritten = _updated(stored.where(in_hit), source.where(in_hit), join_keys).unionByName(
+                    fresh.where(in_hit).withColumn("_matched", F.lit(None).cast("boolean"))
                 )
-                self._write(rewritten, "overwrite")
-                updated, copied = counts.get["updated"], counts.get["copied"]
+                updated, copied = self._rewrite(rewritten)
             total = sum(per_bucket.values())
             return UpsertMetrics(total, total - sum(hit_buckets.values()), updated, copied)
         finally:
@@ -216,12 +211,22 @@ class KeyedTable:
     def _write(self, df: DataFrame, mode: str, replace: str = "dynamic") -> None:
         """The rebalance hint lets adaptive execution split an oversized bucket
         into several files and join small ones into one task."""
-        (
-            df.hint("rebalance", BUCKET)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", replace)
-            .partitionBy(BUCKET)
-            .parquet(self.path)
+        self._save(df.hint("rebalance", BUCKET), mode, replace)
+
+    def _rewrite(self, df: DataFrame) -> tuple[int, int]:
+        """Replace whole buckets; returns updated and copied row counts. They are
+        observed after the shuffle, in the writing stage, so that a map task
+        repeated after the loss of an executor is not counted twice."""
+        counts = Observation()
+        watched = df.hint("rebalance", BUCKET).observe(
+            counts,
+            F.count_if(F.col("_matched")).alias("updated"),
+            F.count_if(~F.col("_matched")).alias("copied"),
         )
+        self._save(watched.drop("_matched"), "overwrite", "dynamic")
+        return counts.get["updated"], counts.get["copied"]
+
+    def _save(self, df: DataFrame, mode: str, replace: str) -> None:
+        df.write.mode(mode).option("partitionOverwriteMode", replace).partitionBy(BUCKET).parquet(self.path)
         self.spark.catalog.refreshByPath(self.path)
 

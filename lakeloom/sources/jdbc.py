@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -79,6 +79,9 @@ class FrameTable:
         return self.df.agg(F.max(column)).first()[0]
 
     def read_between(self, spark: SparkSession, column: str, low: datetime, high: datetime) -> DataFrame:
+        return self.df.where((F.col(column) > self._bound(column, low)) & (F.col(column) <= self._bound(column, high)))
+
+    def _bound(self, column: str, value: datetime) -> Column:
+        """A bound in the column's own type, so that the filter reaches the scan."""
         kind = self.df.schema[column].dataType.simpleString()
-        window = (F.col(column) > F.lit(low).cast(kind)) & (F.col(column) <= F.lit(high).cast(kind))
-        return self.df.where(window)
+        return F.lit(str(value)).cast(kind) if kind == "timestamp_ntz" else F.lit(value).cast(kind)
