@@ -41,6 +41,16 @@ def write_partitioned(df: DataFrame, target: str, columns: Sequence[str], mode:
     df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(target)
 
 
+def write_partitioned_table(df: DataFrame, table: str, path: str, columns: Sequence[str]) -> None:
+    """As ``write_partitioned``, as an external catalog table. The catalog knows
+    the partitions, so a filtered read lists only the folders it needs; reading
+    the bare path lists all of them."""
+    (
+        df.hint("rebalance", *columns)
+        .write.mode("overwrite").format("parquet").option("path", path).partitionBy(*columns).saveAsTable(table)
+    )
+
+
 def spread_by(df: DataFrame, partitions: int, *columns: str, salts: int = 1) -> DataFrame:
     """Hash repartition by columns. With ``salts`` above 1, rows of one key go to
     up to that many partitions, for keys that are too few or too hot."""

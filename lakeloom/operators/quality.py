@@ -86,8 +86,10 @@ def _line(table: str, check: str, severity: str, metric: Column, problem: str) -
 
 
 
-def _scan_lines(checks: TableChecks, missing: list[str], scoped: bool) -> DataFrame:
-    """not_empty, required columns, null keys and rules from one aggregate row."""
+def scan_checks(checks: TableChecks, scoped: bool = False) -> DataFrame:
+    """not_empty, required columns, null keys and rules from one aggregate pass
+    without a shuffle of rows. An empty table or missing columns end the list."""
+    missing = missing_columns(checks.rows, checks.required)
     testable = not missing
     measures = [F.count("*").alias("rows_in")]
     if testable:
@@ -118,7 +120,7 @@ def _scan_lines(checks: TableChecks, missing: list[str], scoped: bool) -> DataFr
     return checks.rows.agg(*measures).select(F.inline(lines))
 
 
-def _duplicate_line(checks: TableChecks) -> DataFrame:
+def duplicate_check(checks: TableChecks) -> DataFrame:
     """The duplicate check; silent for an empty table."""
     groups = checks.rows.groupBy(*checks.keys).count()
     counted = groups.agg(F.count("*").alias("groups"), F.count_if(F.col("count") > 1).alias("repeated"))
@@ -127,17 +129,44 @@ def _duplicate_line(checks: TableChecks) -> DataFrame:
     return counted.where(F.col("groups") > 0).select(F.inline(F.array(line)))
 
 
-def reference_line(table: str, check: str, unmatched: DataFrame, problem: str) -> DataFrame:
-    """A referential check, severity WARN."""
-    return unmatched.agg(F.count("*").alias("unmatched")).select(
-        F.inline(F.array(_line(table, check, WARN, F.col("unmatched"), problem)))
+@dataclass(frozen=True)
+class Side:
+    """One side of a referential check: where its unmatched keys are reported."""
+
+    table: str
+    rows: DataFrame
+    check: str
+    problem: str
+
+
+def reference_checks(key: str, child: Side, parent: Side) -> DataFrame:
+    """Both directions of a referential check, severity WARN, from one grouping:
+    each distinct key is marked with the sides it occurs on. A null key matches
+    nothing."""
+    marked = child.rows.select(key, F.lit(True).alias("in_child")).unionByName(
+        parent.rows.select(key, F.lit(False).alias("in_child"))
+    )
+    sides = marked.groupBy(key).agg(
+        F.bool_or("in_child").alias("in_child"), F.bool_or(~F.col("in_child")).alias("in_parent")
     )
+    lone = F.col(key).isNull()
+    counted = sides.agg(
+        F.count_if(F.col("in_child") & (~F.col("in_parent") | lone)).alias("child_only"),
+        F.count_if(F.col("in_parent") & (~F.col("in_child") | lone)).alias("parent_only"),
+    )
+    lines = [
+        _line(side.table, side.check, WARN, F.col(measure), side.problem)
+        for side, measure in ((child, "child_only"), (parent, "parent_only"))
+    ]
+    return counted.select(F.inline(F.array(*lines)))
 
 
 def check_table(checks: TableChecks, scoped: bool = False) -> DataFrame:
-    missing = missing_columns(checks.rows, checks.required)
-    lines = _scan_lines(checks, missing, scoped)
-    return lines if missing else lines.unionByName(_duplicate_line(checks))
+    """All checks of one table."""
+    lines = scan_checks(checks, scoped)
+    if missing_columns(checks.rows, checks.required):
+        return lines
+    return lines.unionByName(duplicate_check(checks))
 
 
 def severity_rank(status: Column) -> Column:

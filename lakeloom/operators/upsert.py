@@ -11,12 +11,12 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from lakeloom.operators.dedup import latest_per_key
@@ -85,10 +85,12 @@ def set_where(df: DataFrame, condition: Column, changes: dict[str, Column]) -> D
 def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct source keys present in the target; never more than the source.
 
-    A small source is broadcast by Spark and the target is not shuffled; a large
-    one is merge-joined, and a hot target key can be split by adaptive execution.
+    With a source small enough to broadcast, Spark moves the semi join below the
+    distinct and does not shuffle the target. With a large one the distinct stays
+    first: repeated target keys are combined before the shuffle, whose
+    partitioning the join then reuses.
     """
-    return target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    return target.select(*keys).distinct().join(source.select(*keys), list(keys), "left_semi")
 
 
 def absent_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -116,13 +118,14 @@ class KeyedTable:
         self.path = path
         self._known: dict | None = None
 
-    def _exists(self, path: str) -> bool:
-        location = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        return location.getFileSystem(conf).exists(location)
+    def _hadoop_conf(self):
+        return self.spark._jsparkSession.sessionState().newHadoopConf()
 
     def exists(self) -> bool:
-        return self._known is not None or self._exists(f"{self.path}/{_INFO}")
+        if self._known is None:
+            info = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_INFO}")
+            return info.getFileSystem(self._hadoop_conf()).exists(info)
+        return True
 
     def _info(self) -> dict:
         if self._known is None:
@@ -135,11 +138,20 @@ class KeyedTable:
         return self._info()["keys"]
 
     def rows(self) -> DataFrame:
-        return self._stored().drop(BUCKET)
+        return self._reader().parquet(self.path).drop(BUCKET)
 
-    def _stored(self) -> DataFrame:
+    def _reader(self) -> DataFrameReader:
         schema = StructType.fromJson(self._info()["schema"]).add(BUCKET, IntegerType())
-        return self.spark.read.schema(schema).parquet(self.path)
+        return self.spark.read.schema(schema).option("basePath", self.path)
+
+    def _buckets(self, wanted: Iterable[int]) -> DataFrame:
+        """Rows of some buckets. Their folders are named to the reader, so the
+        files of other buckets are not even listed."""
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folders = hadoop_path.getFileSystem(self._hadoop_conf()).listStatus(hadoop_path)
+        present = {folder.getPath().getName() for folder in folders}
+        paths = [f"{self.path}/{name}" for name in (f"{BUCKET}={b}" for b in wanted) if name in present]
+        return self._reader().parquet(*paths) if paths else self._reader().parquet(self.path).limit(0)
 
     def create(self, df: DataFrame, keys: Sequence[str], buckets: int,
                newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> None:
@@ -150,26 +162,26 @@ class KeyedTable:
         info = json.dumps({"keys": keys, "buckets": buckets, "schema": df.schema.jsonValue()})
         self.spark.createDataFrame([(info,)], "value string").coalesce(1).write.text(f"{self.path}/{_INFO}")
 
+    def _columns(self) -> list[str]:
+        return [field["name"] for field in self._info()["schema"]["fields"]]
+
     def append(self, df: DataFrame) -> None:
         """Add rows without looking for their keys."""
         info = self._info()
-        columns = self.rows().columns
-        self._write(df.select(*columns).withColumn(BUCKET, bucket_of(info["keys"], info["buckets"])), "append")
+        self._write(df.select(*self._columns()).withColumn(BUCKET, bucket_of(info["keys"], info["buckets"])), "append")
 
     def upsert(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> UpsertMetrics:
         """Update all columns of matched rows and insert the others."""
         info = self._info()
         keys, buckets = info["keys"], info["buckets"]
-        stored = self._stored()
-        columns = [name for name in stored.columns if name != BUCKET]
+        columns = self._columns()
         source = latest_per_key(df.select(*columns), keys, newest or keys, tie_breaks)
         source = source.withColumn(BUCKET, bucket_of(keys, buckets)).persist(StorageLevel.MEMORY_AND_DISK)
         matched = None
         try:
             per_bucket = {row[BUCKET]: row["count"] for row in source.groupBy(BUCKET).count().collect()}
-            touched = stored.where(F.col(BUCKET).isin(list(per_bucket)))
             join_keys = [BUCKET, *keys]
-            matched = matched_keys(touched, source, join_keys).persist(StorageLevel.MEMORY_AND_DISK)
+            matched = matched_keys(self._buckets(per_bucket), source, join_keys).persist(StorageLevel.MEMORY_AND_DISK)
             hit_buckets = {row[BUCKET]: row["count"] for row in matched.groupBy(BUCKET).count().collect()}
             in_hit = F.col(BUCKET).isin(list(hit_buckets))
             fresh = source.join(matched, join_keys, "left_anti")
@@ -177,7 +189,7 @@ class KeyedTable:
             if len(hit_buckets) < len(per_bucket):
                 self._write(source.where(~in_hit), "append")
             if hit_buckets:
-                rewritten = _updated(stored.where(in_hit), source.where(in_hit), join_keys).unionByName(
+                rewritten = _updated(self._buckets(hit_buckets), source.where(in_hit), join_keys).unionByName(
                     fresh.where(in_hit).withColumn("_matched", F.lit(None).cast("boolean"))
                 )
                 updated, copied = self._rewrite(rewritten)

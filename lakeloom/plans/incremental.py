@@ -8,6 +8,7 @@ changed without touching the others. Only control rows reach the driver.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from typing import Any, Protocol
@@ -85,46 +86,53 @@ class IncrementalLoader:
     def bronze(self, target_schema: str, target_table: str) -> str:
         return f"{self.bronze_path}/{target_schema}/{target_table}"
 
-    def run(self, sources: Mapping[str, IncrementalSource], run_id: str, moment: datetime) -> list[LoadResult]:
-        """Load every enabled source once. A failed source keeps its watermark and
-        gets status FAILED; the other sources still run."""
+    def run(self, sources: Mapping[str, IncrementalSource], run_id: str, moment: datetime,
+            parallel: int = 4) -> list[LoadResult]:
+        """Load every enabled source once, a few at a time. A failed source keeps
+        its watermark and gets status FAILED; the other sources still run. Each
+        source's state is stored as soon as it is done."""
         wanted = self.metadata.rows().where("enabled").where(F.col(SOURCE_KEY).isin(list(sources)))
+        settings = wanted.orderBy(SOURCE_KEY).collect()
+        states = {row[SOURCE_KEY]: row for row in self.watermarks.rows().collect()}
         results = []
-        for setting in wanted.orderBy(SOURCE_KEY).collect():
-            source = setting[SOURCE_KEY]
-            try:
-                result = self._load(setting, sources[source], run_id, moment)
-            except Exception as error:
-                result = LoadResult(source, FAILED, 0, None, str(error))
-            self._record(result, setting["watermark_column"], run_id, moment)
-            results.append(result)
-        return results
-
-    def last_watermark(self, source: str) -> datetime:
-        found = self._state(source)
-        return (found and found["last_successful_watermark"]) or BEGINNING
-
-    def _state(self, source: str) -> Row | None:
-        return self.watermarks.rows().where(F.col(SOURCE_KEY) == source).first()
-
-    def _load(self, setting: Row, source: IncrementalSource, run_id: str, moment: datetime) -> LoadResult:
+        with ThreadPoolExecutor(parallel) as pool:
+            running = {
+                pool.submit(self._load, setting, states.get(setting[SOURCE_KEY]), sources, run_id, moment): setting
+                for setting in settings
+            }
+            for done in as_completed(running):
+                setting = running[done]
+                result = self._outcome(setting[SOURCE_KEY], done)
+                self._record(result, setting["watermark_column"], states.get(result.source), run_id, moment)
+                results.append(result)
+        return sorted(results, key=lambda result: result.source)
+
+    def _load(self, setting: Row, state: Row | None, sources: Mapping[str, IncrementalSource],
+              run_id: str, moment: datetime) -> LoadResult:
         name, column = setting[SOURCE_KEY], setting["watermark_column"]
-        low = self.last_watermark(name) - timedelta(minutes=setting["lookback_minutes"] or 0)
-        high = source.high_value(self.spark, column)
+        reached = (state and state["last_successful_watermark"]) or BEGINNING
+        low = reached - timedelta(minutes=setting["lookback_minutes"] or 0)
+        high = sources[name].high_value(self.spark, column)
         if high is None:
             return LoadResult(name, SUCCESS, 0, None)
-        rows = with_run_lineage(source.read_between(self.spark, column, low, high), name, run_id, moment)
+        window = sources[name].read_between(self.spark, column, low, high)
+        rows = with_run_lineage(window, name, run_id, moment)
         count = append_run(rows, self.bronze(setting["target_schema"], setting["target_table"]))
         return LoadResult(name, SUCCESS, count, high)
 
-    def _record(self, result: LoadResult, column: str, run_id: str, moment: datetime) -> None:
+    @staticmethod
+    def _outcome(source: str, done: Future) -> LoadResult:
+        error = done.exception()
+        return done.result() if error is None else LoadResult(source, FAILED, 0, None, str(error))
+
+    def _record(self, result: LoadResult, column: str, state: Row | None, run_id: str, moment: datetime) -> None:
         """Advance the source's row; an empty source or a failure keeps the old
         watermark."""
-        state = self._state(result.source)
         kept = state["last_successful_watermark"] if state else None
+        last_high = state["current_batch_max_watermark"] if state else None
         row = (
             result.source, column, result.watermark or kept,
-            result.watermark if result.status == SUCCESS else (state and state["current_batch_max_watermark"]),
+            result.watermark if result.status == SUCCESS else last_high,
             run_id, moment, result.rows, result.status, moment,
         )
         self.watermarks.upsert(self.spark.createDataFrame([row], WATERMARK_SCHEMA))

@@ -177,7 +177,7 @@ def fn_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        (l_partkey - 1000) % 7 AS remainder, (((l_partkey - 1000) % 7) + 7) % 7 AS positive_modulo,
        round(l_extendedprice * (1 - l_discount) + l_tax, 4) AS net,
-       round(l_extendedprice / l_quantity, 2) AS unit_price
+       l_extendedprice / l_quantity AS unit_price
 FROM lineitem
 """)
 def fn_math(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +186,7 @@ def fn_math(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         (shifted % 7).alias("remainder"), F.pmod(shifted, F.lit(7)).alias("positive_modulo"),
         F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) + F.col("l_tax"), 4).alias("net"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
     )
 
 

@@ -127,7 +127,7 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_partkey") % 500 != 0, F.col("l_orderkey")).alias("SalesOrderID"),
         F.col("l_linenumber").alias("SalesOrderDetailID"),
         (F.col("l_quantity") - 2).alias("OrderQty"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity") - 905, 2).alias("UnitPrice"),
+        (F.col("l_extendedprice") / F.col("l_quantity") - 905).alias("UnitPrice"),
         (F.col("l_discount") - 0.01).alias("UnitPriceDiscount"),
         (F.col("l_extendedprice") - 1000).alias("LineTotal"),
         F.col("l_shipdate").alias("ModifiedDate"),
@@ -137,7 +137,7 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER_DETAIL_SQL = """
   SELECT CASE WHEN l_partkey % 500 <> 0 THEN l_orderkey END AS SalesOrderID,
          l_linenumber AS SalesOrderDetailID, l_quantity - 2 AS OrderQty,
-         round(l_extendedprice / l_quantity - 905, 2) AS UnitPrice,
+         l_extendedprice / l_quantity - 905 AS UnitPrice,
          l_discount - 0.01 AS UnitPriceDiscount, l_extendedprice - 1000 AS LineTotal,
          l_shipdate AS ModifiedDate
   FROM lineitem

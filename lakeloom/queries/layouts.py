@@ -72,11 +72,13 @@ FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1999-07-01' GROUP BY 1
 """)
 def layout_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month folders; the filter prunes them."""
+    """Month folders of a catalog table; the filter prunes them before listing."""
     path = scratch_path(spark, "monthly")
+    table = f"monthly_{path.rsplit('-', 1)[1]}"
     month = (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int")
-    layout.write_partitioned(fixture(spark, sf_dir, "lineitem").withColumn("ship_month", month), path, ["ship_month"])
-    return spark.read.parquet(path).where(F.col("ship_month").between(199801, 199906)).groupBy("ship_month").agg(
+    lines = fixture(spark, sf_dir, "lineitem").withColumn("ship_month", month)
+    layout.write_partitioned_table(lines, table, path, ["ship_month"])
+    return spark.table(table).where(F.col("ship_month").between(199801, 199906)).groupBy("ship_month").agg(
         F.count("*").alias("row_count"), F.round(F.sum("l_extendedprice"), 2).alias("revenue")
     )
 

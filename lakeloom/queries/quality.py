@@ -117,15 +117,13 @@ def _tables(spark: SparkSession, sf_dir: str) -> list[dq.TableChecks]:
 
 
 def _full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    detail, header = order_detail(spark, sf_dir), order_header(spark, sf_dir)
-    lines = [dq.check_table(checks) for checks in _tables(spark, sf_dir)]
-    lines.append(dq.reference_line(
-        DETAIL, "ref_check_detail_has_header", dq.keys_without_match(detail, header, "SalesOrderID"),
-        "SalesOrderID in detail not found in header",
-    ))
-    lines.append(dq.reference_line(
-        HEADER, "ref_check_header_has_detail", dq.keys_without_match(header, detail, "SalesOrderID"),
-        "SalesOrderID in header not found in detail",
+    tables = _tables(spark, sf_dir)
+    detail, header, _ = tables
+    lines = [dq.check_table(checks) for checks in tables]
+    lines.append(dq.reference_checks(
+        "SalesOrderID",
+        dq.Side(DETAIL, detail.rows, "ref_check_detail_has_header", "SalesOrderID in detail not found in header"),
+        dq.Side(HEADER, header.rows, "ref_check_header_has_detail", "SalesOrderID in header not found in detail"),
     ))
     return dq.report(lines)
 
@@ -217,7 +215,7 @@ def dq_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     nothing = transaction_history(spark, sf_dir).where("Quantity < 0")
     empty = dq.TableChecks(HISTORY, nothing, HISTORY_KEYS, HISTORY_REQUIRED)
     emptied = dq.check_table(empty, scoped=True)
-    return _only(dq.check_table(detail, scoped=True), "not_empty").unionByName(emptied).drop("metric")
+    return _only(dq.scan_checks(detail, scoped=True), "not_empty").unionByName(emptied).drop("metric")
 
 
 @register(f"""
@@ -242,7 +240,7 @@ def dq_required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 ))
 def dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = dq.TableChecks(DETAIL, order_detail(spark, sf_dir), DETAIL_KEYS, DETAIL_REQUIRED)
-    return _only(dq.check_table(checks), "null_check_key_cols")
+    return _only(dq.scan_checks(checks), "null_check_key_cols")
 
 
 @register(f"""
@@ -272,9 +270,9 @@ def dq_worst_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 ))
 def dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The thirteen business rules of three tables."""
-    names = [rule.name for checks in _tables(spark, sf_dir) for rule in checks.rules]
-    lines = [dq.check_table(checks) for checks in _tables(spark, sf_dir)]
-    return _only(lines[0].unionByName(lines[1]).unionByName(lines[2]), *names)
+    tables = _tables(spark, sf_dir)
+    names = [rule.name for checks in tables for rule in checks.rules]
+    return _only(dq.report([dq.scan_checks(checks) for checks in tables]), *names)
 
 
 @register(f"""
