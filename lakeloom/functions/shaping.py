@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime
 
@@ -46,6 +47,15 @@ def conform(df: DataFrame, spec: Mapping[str, str], defaults: Mapping[str, Colum
     return df.select(*projected)
 
 
+def new_run_id() -> str:
+    return str(uuid.uuid4())
+
+
+def row_guid() -> Column:
+    """A random id per row; store the rows before reading them twice."""
+    return F.expr("uuid()")
+
+
 def load_time(moment: datetime | None = None) -> Column:
     return F.current_timestamp() if moment is None else F.lit(moment).cast("timestamp")
 

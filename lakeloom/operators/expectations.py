@@ -33,8 +33,10 @@ def all_hold(rules: Sequence[Expectation]) -> Column:
 
 
 def keep_valid(df: DataFrame, rules: Sequence[Expectation], counters: Observation | None = None) -> DataFrame:
-    """Rows that meet every rule. With ``counters`` the broken rows per rule are
-    counted in the same pass, when the result is written."""
+    """Rows that meet every rule. The rules are plain filters, which drop undecided
+    rows too and can be pushed into the scan. With ``counters`` the broken rows
+    per rule are counted in the same pass, when the result is written; write it
+    without a shuffle in between, so that a repeated task is counted once."""
     watched = df
     if counters is not None:
         watched = df.observe(
@@ -42,7 +44,9 @@ def keep_valid(df: DataFrame, rules: Sequence[Expectation], counters: Observatio
             F.count("*").alias("rows_in"),
             *[F.count_if(~holds(rule)).alias(rule.name) for rule in rules],
         )
-    return watched.where(all_hold(rules))
+    for rule in rules:
+        watched = watched.where(rule.predicate)
+    return watched
 
 
 def keep_invalid(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:

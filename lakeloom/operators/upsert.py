@@ -180,6 +180,8 @@ class KeyedTable:
         matched = None
         try:
             per_bucket = {row[BUCKET]: row["count"] for row in source.groupBy(BUCKET).count().collect()}
+            if not per_bucket:
+                return UpsertMetrics(0, 0, 0, 0)
             join_keys = [BUCKET, *keys]
             matched = matched_keys(self._buckets(per_bucket), source, join_keys).persist(StorageLevel.MEMORY_AND_DISK)
             hit_buckets = {row[BUCKET]: row["count"] for row in matched.groupBy(BUCKET).count().collect()}

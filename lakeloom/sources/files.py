@@ -56,12 +56,15 @@ def persisted_schema(spark: SparkSession, path: str, file_format: str, schema_pa
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> DataFrame:
     """A stream over the files of a landing folder; the query's checkpoint makes
-    each file count exactly once across runs."""
+    each file count exactly once across runs. A cap by files or by bytes (such as
+    ``"100g"``) bounds the size of one micro-batch; use one of the two."""
     reader = spark.readStream.format(file_format).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(path)
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 class JdbcTable:
     """One table of a database.
 
-    ``partition_column`` (numeric, date or timestamp) splits reads into
-    ``partitions`` parallel range scans; without it Spark reads in one task.
+    With ``partitions`` above 1 a read is split into parallel range scans over
+    ``partition_column`` (numeric, date or timestamp); incremental reads split
+    over the watermark column when none is named.
     """
 
     url: str
@@ -28,14 +29,19 @@ class JdbcTable:
     def options(self) -> dict[str, str]:
         return {"url": self.url, "fetchsize": str(self.fetch_size), **self.properties}
 
-    def read(self, spark: SparkSession, bounds: tuple[Any, Any] | None = None) -> DataFrame:
-        """The whole table; ``bounds`` only shape the splits, they drop no row."""
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The whole table."""
+        return self._read_split(spark, self.partition_column)
+
+    def _read_split(self, spark: SparkSession, column: str | None,
+                    bounds: tuple[Any, Any] | None = None) -> DataFrame:
+        """``bounds`` only shape the splits, they drop no row."""
         options = {**self.options(), "dbtable": self.table}
-        if self.partition_column and self.partitions > 1:
-            low, high = bounds or self.bounds(spark, self.partition_column)
+        if column and self.partitions > 1:
+            low, high = bounds or self.bounds(spark, column)
             if low is not None:
                 options |= {
-                    "partitionColumn": self.partition_column,
+                    "partitionColumn": column,
                     "lowerBound": str(low),
                     "upperBound": str(high),
                     "numPartitions": str(self.partitions),
@@ -55,8 +61,8 @@ class JdbcTable:
     def read_between(self, spark: SparkSession, column: str, low: datetime, high: datetime) -> DataFrame:
         """Rows with ``low < column <= high``; a plain Spark predicate, which the
         JDBC relation pushes down in the database's own dialect."""
-        split_on_window = self.partition_column == column
-        rows = self.read(spark, (low, high) if split_on_window else None)
+        split_by = self.partition_column or column
+        rows = self._read_split(spark, split_by, (low, high) if split_by == column else None)
         return rows.where((F.col(column) > F.lit(low)) & (F.col(column) <= F.lit(high)))
 
     def append(self, df: DataFrame, batch_size: int = 10_000) -> None:

@@ -63,14 +63,14 @@ def drain_batches(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
 
 
 def append_batches(path: str, log: Callable[[int, int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """A batch handler that appends non-empty batches and reports their size.
+    """A batch handler that appends batches and reports the size of non-empty ones.
 
     Rows are stored under ``batch_id=...``; a replayed batch replaces its own
-    partition, so a crash between write and checkpoint adds nothing twice.
+    partition, so a crash between write and checkpoint adds nothing twice. The
+    size is observed during the write, and an empty batch writes no file, so the
+    batch is computed once.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         counter = Observation()
         (
             batch.observe(counter, F.count("*").alias("rows"))
@@ -80,8 +80,9 @@ def append_batches(path: str, log: Callable[[int, int], None] | None = None) ->
             .partitionBy("batch_id")
             .parquet(path)
         )
-        if log:
-            log(batch_id, counter.get["rows"])
+        rows = counter.get["rows"]
+        if log and rows:
+            log(batch_id, rows)
 
     return handle
 
@@ -89,16 +90,14 @@ def append_batches(path: str, log: Callable[[int, int], None] | None = None) ->
 def upsert_batches(path: str, keys: Sequence[str], buckets: int, metrics_path: str | None = None,
                    newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """A batch handler that upserts into a keyed table and stores the metrics of
-    each batch under its ``batch_id``."""
+    each non-empty batch under its ``batch_id``."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
         table = KeyedTable(spark, path)
         if not table.exists():
             table.create(batch.limit(0), keys, buckets)
         metrics = table.upsert(batch, newest, tie_breaks).as_dict()
-        if metrics_path:
+        if metrics_path and metrics["source_rows"]:
             (
                 spark.createDataFrame([metrics], ", ".join(f"{name} bigint" for name in metrics))
                 .withColumn("batch_id", F.lit(batch_id))

@@ -56,6 +56,13 @@ def test_valid_and_quarantine_split_the_input(spark, rows):
     assert all(a is not None and a > 0 and b is not None and b.strip() for a, b in map(tuple, valid))
 
 
+def test_rules_reach_the_scan(spark, folder):
+    path = folder("t")
+    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(path)
+    pushed = plan_of(keep_valid(spark.read.parquet(path), RULES)).rsplit("PushedFilters:", 1)[1]
+    assert "GreaterThan(a,0)" in pushed and "IsNotNull(b)" in pushed
+
+
 def test_rule_counts_and_observed_counts_agree(spark, folder):
     df = spark.createDataFrame([(1, "x"), (None, "x"), (-1, ""), (2, None)], "a int, b string")
     counts = {row["rule"]: row["failed"] for row in rule_counts(df, RULES).collect()}

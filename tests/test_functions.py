@@ -78,6 +78,17 @@ def test_normalized_matches_python(spark, text):
     assert tuple(shaping.normalized(df, trims=["a"], uppers=["b"]).first()) == (text.strip(" "), text.strip(" ").upper())
 
 
+def test_random_ids(spark):
+    guids = [row[0] for row in spark.range(50).select(shaping.row_guid()).collect()]
+    assert len(set(guids)) == 50 and all(len(guid) == 36 for guid in guids)
+    assert shaping.new_run_id() != shaping.new_run_id()
+
+
+def test_default_load_time_is_the_clock(spark):
+    before = dt.datetime.now() - dt.timedelta(minutes=1)
+    assert spark.range(1).select(shaping.load_time()).first()[0] > before
+
+
 def test_run_scope(spark):
     df = shaping.with_run_lineage(spark.range(2), "s", "r1", MOMENT).unionByName(
         shaping.with_run_lineage(spark.range(3), "s", "r2", MOMENT))

@@ -52,8 +52,30 @@ def test_high_value_is_computed_in_the_database(spark):
 def test_window_is_open_below_and_closed_above(spark):
     days = [dt.datetime(2024, 1, day) for day in (1, 2, 3)]
     rows = spark.createDataFrame([(day,) for day in days], "modified timestamp")
-    table = JdbcTable("jdbc:x:y", "t", partition_column="modified", partitions=2)
+    table = JdbcTable("jdbc:x:y", "t", partitions=2)
     reader = Recorder(rows)
     window = table.read_between(reader, "modified", days[0], days[1])
     assert [row[0] for row in window.collect()] == [days[1]]
+    assert reader.calls[0]["partitionColumn"] == "modified"
     assert reader.calls[0]["lowerBound"] == "2024-01-01 00:00:00"
+
+
+class Sink(Recorder):
+    """Stands in for a frame that is written."""
+
+    def __init__(self):
+        super().__init__()
+        self.write, self.saved = self, False
+
+    def mode(self, name):
+        assert name == "append"
+        return self
+
+    def save(self):
+        self.saved = True
+
+
+def test_append_writes_in_batches():
+    sink = Sink()
+    TABLE.append(sink)
+    assert sink.saved and sink.calls[0]["batchsize"] == "10000" and sink.calls[0]["dbtable"] == "sales.orders"
