@@ -65,6 +65,11 @@ def append_run(df: DataFrame, path: str, run_column: str = "_run_id") -> int:
     return counter.get["rows"]
 
 
+def read_run(spark: SparkSession, path: str, run_id: str, run_column: str = "_run_id") -> DataFrame:
+    """One run's rows; only that run's folder is listed."""
+    return spark.read.option("basePath", path).parquet(f"{path}/{run_column}={run_id}")
+
+
 def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
 

@@ -150,8 +150,12 @@ class KeyedTable:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         folders = hadoop_path.getFileSystem(self._hadoop_conf()).listStatus(hadoop_path)
         present = {folder.getPath().getName() for folder in folders}
-        paths = [f"{self.path}/{name}" for name in (f"{BUCKET}={b}" for b in wanted) if name in present]
-        return self._reader().parquet(*paths) if paths else self._reader().parquet(self.path).limit(0)
+        names = [name for name in (f"{BUCKET}={bucket}" for bucket in wanted) if name in present]
+        if len(names) == sum(name.startswith(f"{BUCKET}=") for name in present):
+            return self._reader().parquet(self.path)
+        if not names:
+            return self._reader().parquet(self.path).limit(0)
+        return self._reader().parquet(*[f"{self.path}/{name}" for name in names])
 
     def create(self, df: DataFrame, keys: Sequence[str], buckets: int,
                newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> None:
@@ -202,12 +206,11 @@ class KeyedTable:
             if matched is not None:
                 matched.unpersist()
 
-    def insert_if_absent(self, df: DataFrame) -> None:
-        """Add only rows whose key is not stored yet."""
-        info = self._info()
-        stored = self.rows()
-        source = latest_per_key(df.select(*stored.columns), info["keys"], info["keys"])
-        self.append(absent_rows(stored, source, info["keys"]))
+    def insert_if_absent(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> None:
+        """Add only rows whose key is not stored yet, one per key."""
+        keys = self.keys
+        source = latest_per_key(df.select(*self._columns()), keys, newest or keys, tie_breaks)
+        self.append(absent_rows(self.rows(), source, keys))
 
     def write(self, df: DataFrame, keys: Sequence[str], buckets: int, mode: str = "merge",
               newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> UpsertMetrics | None:

@@ -8,7 +8,7 @@ from lakeloom.functions.events import decode_envelope, event_id, event_time, wit
 from lakeloom.functions.shaping import (
     canonical_columns, conform, normalized, scoped_to_run, with_file_lineage, with_run_lineage,
 )
-from lakeloom.operators.sinks import append_run
+from lakeloom.operators.sinks import append_run, read_run
 from lakeloom.queries.inputs import (
     DECODED_SQL, DEVICE_EVENTS_SQL, EVENT_ID_SQL, LOAD_TIME, device_events, envelope, iso_text,
 )
@@ -88,7 +88,7 @@ def dq_run_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = orders.where("o_orderdate >= '1998-01-01'")
     append_run(with_run_lineage(early, "sales.orders", "run-1", LOAD_TIME), path)
     append_run(with_run_lineage(late, "sales.orders", "run-2", LOAD_TIME), path)
-    return scoped_to_run(spark.read.parquet(path), "run-2").select("o_orderkey", "o_totalprice")
+    return scoped_to_run(read_run(spark, path, "run-2"), "run-2").select("o_orderkey", "o_totalprice")
 
 
 @register("""

@@ -86,7 +86,8 @@ def src_multi_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = None
     for file_format in ("parquet", "json", "csv"):
         sinks.write_files(events, f"{base}/{file_format}", file_format)
-        rows = conform(read_files(spark, f"{base}/{file_format}", file_format), _FORMATS_SPEC)
+        declared = events.schema if file_format == "json" else None
+        rows = conform(read_files(spark, f"{base}/{file_format}", file_format, schema=declared), _FORMATS_SPEC)
         rows = rows.withColumn("file_format", F.lit(file_format))
         merged = rows if merged is None else merged.unionByName(rows)
     return merged

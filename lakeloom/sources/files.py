@@ -25,7 +25,8 @@ def read_files(spark: SparkSession, path: str, file_format: str,
                header: bool = True, schema: StructType | None = None) -> DataFrame:
     """Read a landing folder in one of the supported formats.
 
-    CSV columns come back as strings unless a schema is given.
+    CSV columns come back as strings unless a schema is given. Without a schema
+    JSON is read once more to infer it, so give one for large folders.
     """
     if file_format not in FILE_FORMATS:
         raise ValueError(f"file format must be one of {', '.join(FILE_FORMATS)}: {file_format}")

@@ -20,7 +20,11 @@ def state_settings(spark: SparkSession, source_path: str, partitions: int | None
     fixed for the life of a checkpoint, so it is sized from the source's bytes."""
     if partitions is None:
         partitions = max(8, files_for(stored_bytes(spark, source_path), STATE_PARTITION_BYTES))
-    return {**ROCKSDB_STATE, "spark.sql.shuffle.partitions": str(partitions)}
+    return {
+        **ROCKSDB_STATE,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.streaming.numRecentProgressUpdates": "10000",
+    }
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:
@@ -111,8 +115,21 @@ def upsert_batches(path: str, keys: Sequence[str], buckets: int, metrics_path: s
     return handle
 
 
+def insert_absent_batches(path: str, keys: Sequence[str], buckets: int, newest: Sequence[str] = (),
+                          tie_breaks: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """A batch handler that adds only rows with unseen keys: deduplication for all
+    time with the table itself as its memory, in place of a state store."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        table = KeyedTable(batch.sparkSession, path)
+        if not table.exists():
+            table.create(batch.limit(0), keys, buckets)
+        table.insert_if_absent(batch, newest, tie_breaks)
+
+    return handle
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped by the watermark over the run's recent batches."""
+    """Rows dropped by the watermark, over the batches whose progress is kept."""
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress

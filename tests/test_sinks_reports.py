@@ -28,6 +28,7 @@ def test_append_run_counts_and_replaces(spark, folder):
     assert sinks.append_run(rows, path) == 5 and sinks.append_run(rows, path) == 5
     assert sinks.append_run(rows.withColumn("_run_id", F.lit("r2")).limit(2), path) == 2
     assert spark.read.parquet(path).count() == 7
+    assert rows_of(sinks.read_run(spark, path, "r2").select("_run_id").distinct()) == [("r2",)]
 
 
 def test_table_comment_properties_and_names(spark, folder):
