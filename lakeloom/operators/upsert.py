@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from functools import reduce
 
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSe
 from pyspark.sql.types import IntegerType, StructType
 
 from lakeloom.operators.dedup import latest_per_key
+from lakeloom.sources.files import stored_files
 
 BUCKET = "bkt"
 _INFO = "_keyed"
@@ -174,43 +176,59 @@ class KeyedTable:
         info = self._info()
         self._write(df.select(*self._columns()).withColumn(BUCKET, bucket_of(info["keys"], info["buckets"])), "append")
 
+    @contextmanager
+    def _incoming(self, df: DataFrame, newest: Sequence[str],
+                  tie_breaks: Sequence[str]) -> Iterator[tuple[DataFrame, dict[int, int]]]:
+        """The source, one row per key with its bucket, held for several uses;
+        and its row count per bucket."""
+        keys, buckets = self.keys, self._info()["buckets"]
+        latest = latest_per_key(df.select(*self._columns()), keys, newest or keys, tie_breaks)
+        source = latest.withColumn(BUCKET, bucket_of(keys, buckets)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield source, {row[BUCKET]: row["count"] for row in source.groupBy(BUCKET).count().collect()}
+        finally:
+            source.unpersist()
+
     def upsert(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> UpsertMetrics:
         """Update all columns of matched rows and insert the others."""
-        info = self._info()
-        keys, buckets = info["keys"], info["buckets"]
-        columns = self._columns()
-        source = latest_per_key(df.select(*columns), keys, newest or keys, tie_breaks)
-        source = source.withColumn(BUCKET, bucket_of(keys, buckets)).persist(StorageLevel.MEMORY_AND_DISK)
-        matched = None
-        try:
-            per_bucket = {row[BUCKET]: row["count"] for row in source.groupBy(BUCKET).count().collect()}
+        join_keys = [BUCKET, *self.keys]
+        with self._incoming(df, newest, tie_breaks) as (source, per_bucket):
             if not per_bucket:
                 return UpsertMetrics(0, 0, 0, 0)
-            join_keys = [BUCKET, *keys]
             matched = matched_keys(self._buckets(per_bucket), source, join_keys).persist(StorageLevel.MEMORY_AND_DISK)
-            hit_buckets = {row[BUCKET]: row["count"] for row in matched.groupBy(BUCKET).count().collect()}
-            in_hit = F.col(BUCKET).isin(list(hit_buckets))
-            fresh = source.join(matched, join_keys, "left_anti")
-            updated = copied = 0
-            if len(hit_buckets) < len(per_bucket):
-                self._write(source.where(~in_hit), "append")
-            if hit_buckets:
-                rewritten = _updated(self._buckets(hit_buckets), source.where(in_hit), join_keys).unionByName(
-                    fresh.where(in_hit).withColumn("_matched", F.lit(None).cast("boolean"))
-                )
-                updated, copied = self._rewrite(rewritten)
-            total = sum(per_bucket.values())
-            return UpsertMetrics(total, total - sum(hit_buckets.values()), updated, copied)
-        finally:
-            source.unpersist()
-            if matched is not None:
+            try:
+                hits = {row[BUCKET]: row["count"] for row in matched.groupBy(BUCKET).count().collect()}
+                in_hit = F.col(BUCKET).isin(list(hits))
+                updated = copied = 0
+                if len(hits) < len(per_bucket):
+                    self._write(source.where(~in_hit), "append")
+                if hits:
+                    fresh = source.where(in_hit).join(matched, join_keys, "left_anti")
+                    rewritten = _updated(self._buckets(hits), source.where(in_hit), join_keys).unionByName(
+                        fresh.withColumn("_matched", F.lit(None).cast("boolean"))
+                    )
+                    updated, copied = self._rewrite(rewritten)
+            finally:
                 matched.unpersist()
+            rows = sum(per_bucket.values())
+            return UpsertMetrics(rows, rows - sum(hits.values()), updated, copied)
 
     def insert_if_absent(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> None:
         """Add only rows whose key is not stored yet, one per key."""
-        keys = self.keys
-        source = latest_per_key(df.select(*self._columns()), keys, newest or keys, tie_breaks)
-        self.append(absent_rows(self.rows(), source, keys))
+        with self._incoming(df, newest, tie_breaks) as (source, per_bucket):
+            if per_bucket:
+                fresh = absent_rows(self._buckets(per_bucket), source, [BUCKET, *self.keys])
+                self._write(fresh, "append")
+
+    def compact(self, max_files: int = 8) -> int:
+        """Rewrite the buckets that appends have left with more than ``max_files``
+        files; returns how many there were."""
+        bucket = F.regexp_extract("path", f"/{BUCKET}=([0-9]+)/", 1).cast("int").alias(BUCKET)
+        files = stored_files(self.spark, self.path).groupBy(bucket).count()
+        crowded = [row[BUCKET] for row in files.where(F.col("count") > max_files).collect()]
+        if crowded:
+            self._write(self._buckets(crowded), "overwrite")
+        return len(crowded)
 
     def write(self, df: DataFrame, keys: Sequence[str], buckets: int, mode: str = "merge",
               newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> UpsertMetrics | None:

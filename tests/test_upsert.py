@@ -72,6 +72,16 @@ def test_only_hit_buckets_are_rewritten(spark, folder):
     assert rows_of(table.rows().where("v = 'hit'")) == [(7, "hit", 1)]
 
 
+def test_compact_rewrites_only_crowded_buckets(spark, folder):
+    table = _table(spark, folder, [(k, "a", 0) for k in range(100)], buckets=4)
+    for step in range(3):
+        table.append(_frame(spark, [(1_000 + step, "n", 0)] * 2))
+    before, rows = _files(table), rows_of(table.rows())
+    crowded = {base for base in map(os.path.dirname, before) if sum(os.path.dirname(f) == base for f in before) > 1}
+    assert table.compact(max_files=1) == len(crowded) > 0
+    assert rows_of(table.rows()) == rows and len(_files(table)) == 4
+
+
 def test_copies_kept_by_append_mode_are_all_updated(spark, folder):
     table = _table(spark, folder, [(1, "a", 0), (2, "b", 0)])
     table.append(_frame(spark, [(1, "a2", 0)]))
