@@ -8,7 +8,7 @@ from lakeloom.operators import governance as gov
 from lakeloom.queries.registry import register
 from lakeloom.sources.files import fixture
 
-GROUP = "RLSCheckGroup1"
+GROUP = "order_auditors"
 MASK = gov.MaskPolicy("o_orderkey", GROUP)
 
 

@@ -72,7 +72,7 @@ def expect_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).agg(F.count("*").alias("rows_out")).select(*counted, "rows_out")
 
 
-DETAIL, HEADER, HISTORY = "bronze.sql_salesorderdetail", "bronze.sql_salesorderheader", "bronze.sql_transactionhistory"
+DETAIL, HEADER, HISTORY = "bronze.order_detail", "bronze.order_header", "bronze.transaction_history"
 DETAIL_KEYS, HEADER_KEYS, HISTORY_KEYS = ["SalesOrderID", "SalesOrderDetailID"], ["SalesOrderID"], ["TransactionID"]
 
 # Required columns that the stand-in tables have.

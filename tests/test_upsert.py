@@ -72,6 +72,24 @@ def test_only_hit_buckets_are_rewritten(spark, folder):
     assert rows_of(table.rows().where("v = 'hit'")) == [(7, "hit", 1)]
 
 
+@pytest.mark.parametrize("lost_step", ["_write", "_rewrite"])
+def test_crash_between_steps_then_replay(spark, folder, monkeypatch, lost_step):
+    """The append of new keys and the rewrite of hit buckets are two commits; a
+    crash before either is healed by replaying the batch."""
+    table = _table(spark, folder, [(k, "a", 0) for k in range(40)], buckets=32)
+    batch = _frame(spark, [(1, "hit", 1)] + [(k, "new", 1) for k in range(500, 540)])
+    with monkeypatch.context() as patch:
+        def lose(*_, **__):
+            raise RuntimeError("driver lost")
+
+        patch.setattr(table, lost_step, lose)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            table.upsert(batch)
+    table.upsert(batch)
+    expected = [(k, "a", 0) for k in range(40) if k != 1] + [(1, "hit", 1)] + [(k, "new", 1) for k in range(500, 540)]
+    assert rows_of(table.rows()) == sorted(expected, key=repr)
+
+
 def test_compact_rewrites_only_crowded_buckets(spark, folder):
     table = _table(spark, folder, [(k, "a", 0) for k in range(100)], buckets=4)
     for step in range(3):
