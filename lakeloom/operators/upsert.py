@@ -99,12 +99,16 @@ def absent_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return source.join(matched_keys(target, source, keys), list(keys), "left_anti")
 
 
-def _updated(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every target row once, with source values where its key matches."""
+def _updated(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: Sequence[str] = ()) -> DataFrame:
+    """Every target row once, with source values where its key matches and, if
+    ``newer_by`` is given, where the source row is not older (nulls are oldest)."""
     values = [name for name in target.columns if name not in keys]
     incoming = source.select(*keys, F.struct(F.lit(True).alias("_present"), *values).alias("_new"))
     joined = target.join(incoming, list(keys), "left")
     hit = F.col("_new").isNotNull()
+    if newer_by:
+        arrived = F.struct(*[F.col(f"_new.{name}").alias(name) for name in newer_by])
+        hit = hit & (arrived >= F.struct(*newer_by))
     return joined.select(
         *keys,
         *[F.when(hit, F.col(f"_new.{name}")).otherwise(F.col(name)).alias(name) for name in values],
@@ -189,8 +193,11 @@ class KeyedTable:
         finally:
             source.unpersist()
 
-    def upsert(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> UpsertMetrics:
-        """Update all columns of matched rows and insert the others."""
+    def upsert(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = (),
+               only_newer: bool = False) -> UpsertMetrics:
+        """Update all columns of matched rows and insert the others. With
+        ``only_newer`` a stored row gives way only to a row not older by the
+        ``newest`` columns, so that late arrivals do not undo later ones."""
         join_keys = [BUCKET, *self.keys]
         with self._incoming(df, newest, tie_breaks) as (source, per_bucket):
             if not per_bucket:
@@ -204,7 +211,9 @@ class KeyedTable:
                     self._write(source.where(~in_hit), "append")
                 if hits:
                     fresh = source.where(in_hit).join(matched, join_keys, "left_anti")
-                    rewritten = _updated(self._buckets(hits), source.where(in_hit), join_keys).unionByName(
+                    rewritten = _updated(
+                        self._buckets(hits), source.where(in_hit), join_keys, newest if only_newer else ()
+                    ).unionByName(
                         fresh.withColumn("_matched", F.lit(None).cast("boolean"))
                     )
                     updated, copied = self._rewrite(rewritten)

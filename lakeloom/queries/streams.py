@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.sinks import drop_table, land
+from lakeloom.operators.upsert import KeyedTable
 from lakeloom.plans.medallion import ingest_files, refine_table, serve_top
-from lakeloom.queries.inputs import LOAD_TIME
+from lakeloom.queries.inputs import LOAD_TIME, buckets_for
 from lakeloom.queries.registry import register
 from lakeloom.session import scratch_path
 from lakeloom.sources.files import file_stream, fixture, fixture_glob
 from lakeloom.streaming.dedup import dedup_by_event_time, dedup_by_key, dedup_within_watermark
-from lakeloom.streaming.runs import append_batches, drain, drain_batches, late_rows, state_settings
+from lakeloom.streaming.runs import append_batches, drain, drain_batches, late_rows, state_settings, upsert_batches
 
 
 def _fixture_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,21 @@ def stream_dedup_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(spark, sf_dir, "events", rows).select(*keys)
 
 
+@register("""
+SELECT user_id, event_type, max(ts) AS ts, arg_max(value, ts) AS value FROM events GROUP BY user_id, event_type
+""")
+def stream_latest_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest row per key kept across runs; the older half arrives last."""
+    landing, path, state = (scratch_path(spark, part) for part in ("landing", "silver", "state"))
+    events = fixture(spark, sf_dir, "events").select("user_id", "event_type", "ts", "value")
+    handle = upsert_batches(path, ["user_id", "event_type"], buckets_for(spark, sf_dir, "events"),
+                            newest=["ts"], tie_breaks=["value"], only_newer=True)
+    for run, part in enumerate(("ts >= '2024-01-15'", "ts < '2024-01-15'")):
+        land(events.where(part), landing, f"2024020{run + 1}_000000")
+        drain_batches(file_stream(spark, f"{landing}/*", events.schema), state, handle)
+    return KeyedTable(spark, path).rows()
+
+
 @register("""
 WITH mark AS (SELECT max(ts) - INTERVAL 15 DAY AS watermark FROM events)
 SELECT count(*) FILTER (ts >= watermark) AS kept, count(*) FILTER (ts < watermark) AS late

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lakeloom.operators import layout, sinks
+from lakeloom.session import conf_scope
 from lakeloom.sources.files import stored_bytes, stored_files, table_detail
 from tests.conftest import plan_of, rows_of
 
@@ -89,6 +90,18 @@ def test_partitioned_read_prunes_folders(spark, folder):
     spark.sql("DROP TABLE grid_parts")
 
 
+def test_oversized_partition_is_split(spark, folder):
+    """The folder with most rows gets the most files."""
+    path = folder("skewed")
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id") % 4 + 1).alias("p"), F.xxhash64("id").alias("v"))
+    with conf_scope(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+                            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}):
+        layout.write_partitioned(rows.repartition(8), path, ["p"])
+    assert len(_files(f"{path}/p=0")) > max(4, len(_files(f"{path}/p=1")))
+    assert spark.read.parquet(path).count() == 200_000
+
+
 def test_filter_and_columns_reach_the_scan(spark, folder):
     path = folder("flat")
     _grid(spark).write.parquet(path)

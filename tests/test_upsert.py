@@ -49,6 +49,14 @@ def test_source_copies_collapse_to_the_newest(spark, folder):
     assert rows_of(table.rows()) == [(1, "late", 5), (2, "y", 3)]
 
 
+def test_only_newer_keeps_later_rows(spark, folder):
+    table = _table(spark, folder, [(1, "a", 5), (2, "b", 5), (3, "c", None), (4, "d", 5)])
+    batch = _frame(spark, [(1, "old", 4), (2, "new", 6), (3, "x", 0), (4, "none", None), (5, "e", None)])
+    metrics = table.upsert(batch, newest=["t"], only_newer=True)
+    assert rows_of(table.rows()) == [(1, "a", 5), (2, "new", 6), (3, "x", 0), (4, "d", 5), (5, "e", None)]
+    assert (metrics.inserted, metrics.updated) == (1, 2)
+
+
 def test_null_values_overwrite(spark, folder):
     table = _table(spark, folder, [(1, "a", 0)])
     table.upsert(_frame(spark, [(1, None, None)]))
