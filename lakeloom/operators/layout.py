@@ -180,6 +180,19 @@ def cached(df: DataFrame, warm: bool = True) -> Iterator[DataFrame]:
         held.unpersist()
 
 
+@contextmanager
+def cached_table(spark: SparkSession, table: str, warm: bool = True) -> Iterator[DataFrame]:
+    """As ``cached``, for a catalog table: every query of the session that reads
+    it in the block uses the cache."""
+    spark.catalog.cacheTable(table, StorageLevel.MEMORY_AND_DISK)
+    try:
+        if warm:
+            spark.table(table).count()
+        yield spark.table(table)
+    finally:
+        spark.catalog.uncacheTable(table)
+
+
 def timed(make: Callable[[], DataFrame], runs: int = 3) -> list[float]:
     """Seconds of each full execution; the no-op sink keeps every column and the
     sort, which a count would let the optimizer drop."""

@@ -97,7 +97,7 @@ FROM events
 """)
 def fn_normalize_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = fixture(spark, sf_dir, "events").select(
-        "event_id", F.format_string("  device-%d ", "user_id").alias("deviceId"),
+        "event_id", F.concat(F.lit("  device-"), "user_id", F.lit(" ")).alias("deviceId"),
         F.concat(F.lit(" "), "event_type", F.lit("  ")).alias("status"),
     )
     return normalized(padded, trims=["deviceId"], uppers=["status"])

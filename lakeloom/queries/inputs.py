@@ -30,7 +30,7 @@ def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 60 == 2, "").otherwise(iso_text("ts")).alias("timestamp"),
         F.when(key % 61 == 3, -1).otherwise(F.get_json_object("props", "$.k").cast("bigint")).alias("sequence"),
         F.when(key % 50 == 0, None).when(key % 50 == 1, "  ")
-        .otherwise(F.format_string(" device-%d ", "user_id")).alias("deviceId"),
+        .otherwise(F.concat(F.lit(" device-"), "user_id", F.lit(" "))).alias("deviceId"),
         F.col("value").alias("temperatureC"),
         F.concat(F.lit(" "), "event_type").alias("status"),
         F.col("ts").cast("timestamp").alias("enqueuedTime"),
@@ -59,7 +59,7 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.to_json(F.struct(
         iso_text("ts").alias("timestamp"),
         F.col("event_id").alias("sequence"),
-        F.format_string("device-%d", "user_id").alias("deviceId"),
+        F.concat(F.lit("device-"), "user_id").alias("deviceId"),
         F.col("value").alias("temperatureC"),
         F.col("event_type").alias("status"),
     ))
@@ -105,7 +105,7 @@ def batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "events").select(
         iso_text("ts").alias("timestamp"),
         F.col("event_id").alias("sequence"),
-        F.format_string("device-%d", "user_id").alias("deviceId"),
+        F.concat(F.lit("device-"), "user_id").alias("deviceId"),
         F.col("value").alias("temperatureC"),
         F.col("event_type").alias("status"),
     )

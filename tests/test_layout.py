@@ -152,5 +152,14 @@ def test_cached_block_reads_memory_and_frees_it(spark, folder):
     assert "InMemoryTableScan" not in plan_of(spark.read.parquet(path).groupBy("a").count())
 
 
+def test_cached_table_serves_sql_and_is_freed(spark, folder):
+    sinks.register_table(_grid(spark), "grid_cached", folder("t"))
+    with layout.cached_table(spark, "grid_cached"):
+        assert spark.catalog.isCached("grid_cached")
+        assert "InMemoryTableScan" in plan_of(spark.sql("SELECT a, count(*) FROM grid_cached GROUP BY a"))
+    assert not spark.catalog.isCached("grid_cached")
+    sinks.drop_table(spark, "grid_cached")
+
+
 def test_timed_runs(spark):
     assert len(layout.timed(lambda: spark.range(10), runs=2)) == 2
