@@ -156,7 +156,7 @@ def test_cached_table_serves_sql_and_is_freed(spark, folder):
     sinks.register_table(_grid(spark), "grid_cached", folder("t"))
     with layout.cached_table(spark, "grid_cached"):
         assert spark.catalog.isCached("grid_cached")
-        assert "InMemoryTableScan" in plan_of(spark.sql("SELECT a, count(*) FROM grid_cached GROUP BY a"))
+        assert "Scan In-memory table" in plan_of(spark.sql("SELECT a, count(*) FROM grid_cached GROUP BY a"))
     assert not spark.catalog.isCached("grid_cached")
     sinks.drop_table(spark, "grid_cached")
 
