@@ -102,7 +102,8 @@ def hash_spans(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 def list_column(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+    return pa.ListArray.from_arrays(
+        pa.array(offsets), values if isinstance(values, pa.Array) else pa.array(values, kind))
 
 
 def binary_column(values: np.ndarray, counts: np.ndarray) -> pa.Array:
