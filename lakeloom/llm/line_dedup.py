@@ -83,7 +83,7 @@ cuts AS (
 gone AS (SELECT doc_id, list(line) AS ats FROM cuts GROUP BY doc_id)
 SELECT l.doc_id,
   CASE WHEN ats IS NULL THEN text ELSE coalesce(array_to_string(
-    list_transform(list_filter(range(0, len(ls)), i -> NOT list_contains(ats, i)), i -> ls[i + 1]), chr(10)), '') END AS text,
+    list_transform(list_filter(range(0, len(ls)), lambda i: NOT list_contains(ats, i)), lambda i: ls[i + 1]), chr(10)), '') END AS text,
   CASE WHEN text IS NULL THEN 0 ELSE len(ls) END::BIGINT AS n_lines, coalesce(len(ats), 0)::BIGINT AS n_removed
 FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id
 """
