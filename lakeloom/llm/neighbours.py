@@ -105,19 +105,44 @@ def pack(nodes: DataFrame, count: int) -> DataFrame:
     return stored(nodes.select("node", "v").mapInArrow(run, "node long, q binary, scale float, codes array<int>"), "ann-packed")
 
 
-def _best(owner: np.ndarray, sim: np.ndarray, node: np.ndarray, keep: int) -> pa.RecordBatch:
-    """The ``keep`` best distinct candidates of each owner, as one row an owner."""
-    order = np.lexsort((node, -sim, owner))
+def _best(owner: np.ndarray, sim: np.ndarray, node: np.ndarray, keep: int,
+          rows: np.ndarray | None = None) -> pa.RecordBatch:
+    """The ``keep`` best distinct candidates of each owner, as one row an owner; of
+    equal nodes the best. ``rows`` are the owners to return, in order, if not those
+    that have candidates."""
+    order = np.lexsort((-sim, node, owner))
     owner, sim, node = owner[order], sim[order], node[order]
     new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (node[1:] != node[:-1]) | (sim[1:] != sim[:-1])
+    new[1:] = (owner[1:] != owner[:-1]) | (node[1:] != node[:-1])
     owner, sim, node = owner[new], sim[new], node[new]
-    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
-    count = np.diff(np.append(first, len(owner)))
-    top = np.arange(len(owner)) - np.repeat(first, count) < keep
+    order = np.lexsort((node, -sim, owner))
+    owner, sim, node = owner[order], sim[order], node[order]
+    rows = np.unique(owner) if rows is None else rows
+    first = np.searchsorted(owner, rows)
+    count = np.minimum(np.searchsorted(owner, rows, "right") - first, keep)
+    top = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
     pairs = pa.StructArray.from_arrays([pa.array(sim[top].astype(np.float32)), pa.array(node[top])], ["sim", "node"])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(owner[first]), list_column(pairs, np.minimum(count, keep), pairs.type)], ["owner", "found"])
+    return pa.RecordBatch.from_arrays([pa.array(rows), list_column(pairs, count, pairs.type)], ["owner", "found"])
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length of each list of candidates, and all sims and nodes end to end."""
+    count = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0), np.int64)
+    flat = column.flatten()
+    return count, np.asarray(flat.field(0), np.float64), np.asarray(flat.field(1), np.int64)
+
+
+def merged(found: DataFrame, keep: int) -> DataFrame:
+    """(owner, found) with one row an owner: the best of all its rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                count, sim, node = _lists(batch.column(1))
+                rows = np.asarray(batch.column(0))
+                yield _best(np.repeat(rows, count), sim, node, keep, np.sort(rows))
+
+    return found.groupBy("owner").agg(F.flatten(F.collect_list("found")).alias("found")).mapInArrow(
+        run, f"owner long, found {_CANDIDATES}")
 
 
 def _leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,11 +193,6 @@ def _local(now: list[np.ndarray], cuts: list[int]) -> Iterator[pa.RecordBatch]:
     yield _best(np.concatenate(owners), np.concatenate(sims), np.concatenate(others), DEGREE)
 
 
-def _merged(found: DataFrame, keep: int) -> Column:
-    every = F.flatten(F.collect_list("found"))
-    return F.slice(F.sort_array(F.array_distinct(every), asc=False), 1, keep)
-
-
 def _least(found: str, keep: int) -> Column:
     return F.when(F.size(found) >= keep, F.get(F.col(found), F.lit(keep - 1))["sim"]).otherwise(F.lit(_NOTHING)).cast("float")
 
@@ -190,7 +210,7 @@ def descend(packed: DataFrame, rounds: int = 3, still: float = 0.02) -> DataFram
     first = leaves.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part").mapInArrow(
         _leaf, f"owner long, found {_CANDIDATES}")
     alone = packed.select(F.col("node").alias("owner"), F.array().cast(_CANDIDATES).alias("found"))
-    graph = stored(first.union(alone).groupBy("owner").agg(_merged(first, DEGREE).alias("found")), "ann-graph")
+    graph = stored(merged(first.union(alone), DEGREE), "ann-graph")
     for _ in range(rounds):
         links = graph.select(F.col("owner").alias("v"), F.explode("found.node").alias("u"))
         many = links.groupBy(F.col("u").alias("v")).agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
@@ -202,7 +222,7 @@ def descend(packed: DataFrame, rounds: int = 3, still: float = 0.02) -> DataFram
             graph.select(F.col("owner").alias("u"), _least("found", DEGREE).alias("least")), "u")
         new = edges.join(known, "u").select("v", "block", "u", "q", "scale", "least").repartition("v", "block").sortWithinPartitions(
             "v", "block").mapInArrow(_join_neighbours, f"owner long, found {_CANDIDATES}")
-        better = stored(new.union(graph).groupBy("owner").agg(_merged(new, DEGREE).alias("found")), "ann-graph")
+        better = stored(merged(new.union(graph), DEGREE), "ann-graph")
         moved = better.join(graph.select("owner", F.col("found").alias("old")), "owner").agg(
             F.sum(F.size(F.array_except("found.node", "old.node"))).alias("moved"), F.sum(F.size("found")).alias("links")).first()
         graph = better
@@ -243,28 +263,41 @@ def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, beam: int =
                     batch.column(0), binary_column(q.reshape(-1), np.full(len(x), q.shape[1])),
                     pa.array(scale.astype(np.float32)), batch.column(2)], ["query", "q", "scale", "entry"])
 
+    def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.asarray(batch.column(0))
+            old, gained = _lists(batch.column(3)), _lists(batch.column(5))
+            owner, sim, node = (np.concatenate(pair) for pair in zip(
+                (np.repeat(np.arange(len(rows)), old[0]), *old[1:]), (np.repeat(np.arange(len(rows)), gained[0]), *gained[1:])))
+            found = _best(owner, sim, node, beam, np.arange(len(rows))).column(1)
+            done = [np.asarray(one.values, np.int64) for one in batch.column(4)]
+            ahead = [nodes[~np.isin(nodes, seen)][:expand] for nodes, seen in zip(
+                np.split(np.asarray(found.flatten().field(1)), np.cumsum(_lists(found)[0])[:-1]), done)]
+            done = [np.concatenate(pair) for pair in zip(done, ahead)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], found, *(
+                list_column(np.concatenate(lists) if lists else np.zeros(0, np.int64), np.array([len(one) for one in lists], np.int64),
+                            pa.int64()) for lists in (done, ahead))], ["query", "q", "scale", "found", "done", "next"])
+
+    kind = f"query long, q binary, scale float, found {_CANDIDATES}, done array<long>, next array<long>"
     doors = [row["node"] for row in packed.select("node").orderBy(F.xxhash64("node")).limit(entries).collect()]
     start = F.filter(F.concat(F.array("entry"), F.array(*[F.lit(door).cast("long") for door in doors])), lambda x: x.isNotNull())
-    packed_queries = queries.select("query", "v", "entry").mapInArrow(run, "query long, q binary, scale float, entry long")
-    state = stored(packed_queries.select("query", "q", "scale", F.transform(F.array_distinct(start), lambda node: F.struct(
-        F.lit(_NOTHING).cast("float").alias("sim"), node.alias("node"))).alias("found"),
-        F.array().cast("array<bigint>").alias("done")), "ann-state")
+    none = F.array().cast(_CANDIDATES)
+    state = stored(queries.select("query", "v", "entry").mapInArrow(run, "query long, q binary, scale float, entry long").select(
+        "query", "q", "scale", F.transform(F.array_distinct(start), lambda node: F.struct(
+            F.lit(_NOTHING).cast("float").alias("sim"), node.alias("node"))).alias("found"),
+        F.array().cast("array<bigint>").alias("done"), none.alias("gained")).mapInArrow(advance, kind), "ann-state")
     near = graph.select("owner", F.explode("found.node").alias("node")).join(packed.select("node", "q", "scale"), "node")
-    pages = stored(near.groupBy("owner").agg(F.collect_list(F.struct("node", "q", "scale")).alias("near")).repartition("owner"), "ann-pages")
+    pages = stored(near.groupBy("owner").agg(F.collect_list(F.struct("node", "q", "scale")).alias("near")), "ann-pages")
     for _ in range(steps):
-        fresh = F.slice(F.filter("found", lambda one: ~F.array_contains(F.col("done"), one["node"])), 1, expand)
-        ahead = state.withColumn("next", fresh["node"])
-        if not ahead.where(F.size("next") > 0).limit(1).count():
+        front = state.select("query", "q", "scale", _least("found", beam).alias("least"), F.explode("next").alias("owner"))
+        if not front.limit(1).count():
             break
-        front = ahead.select("query", "q", "scale", _least("found", beam).alias("least"), F.explode("next").alias("owner"))
         hits = front.join(pages, "owner").select("query", "q", "scale", "least", "near").mapInArrow(
             lambda batches: _score(batches, beam), f"owner long, found {_CANDIDATES}")
-        gained = hits.groupBy(F.col("owner").alias("query")).agg(_merged(hits, beam).alias("gained"))
+        gained = hits.groupBy(F.col("owner").alias("query")).agg(F.flatten(F.collect_list("found")).alias("gained"))
         # Entries get their true score once they are met as a neighbour.
-        both = F.concat("found", F.coalesce("gained", F.array().cast(_CANDIDATES)))
-        state = stored(ahead.join(gained, "query", "left").select(
-            "query", "q", "scale", F.slice(F.sort_array(F.array_distinct(both), asc=False), 1, beam).alias("found"),
-            F.array_union("done", "next").alias("done")), "ann-state")
+        state = stored(state.drop("next").join(gained, "query", "left").select(
+            "query", "q", "scale", "found", "done", F.coalesce("gained", none).alias("gained")).mapInArrow(advance, kind), "ann-state")
     return state.select("query", "found")
 
 
