@@ -197,12 +197,20 @@ def _least(found: str, keep: int) -> Column:
     return F.when(F.size(found) >= keep, F.get(F.col(found), F.lit(keep - 1))["sim"]).otherwise(F.lit(_NOTHING)).cast("float")
 
 
+def both_ways(graph: DataFrame) -> DataFrame:
+    """(v, block, u): v's neighbours and the nodes it is a neighbour of. Block 0 has
+    the former; where the latter are very many, they are dealt into blocks."""
+    links = graph.select(F.col("owner").alias("v"), F.explode("found.node").alias("u"))
+    many = links.groupBy(F.col("u").alias("v")).agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
+    back = links.select(F.col("u").alias("v"), F.col("v").alias("u")).join(many, "v", "left").select(
+        "v", F.coalesce(F.pmod(F.xxhash64("u"), F.ceil(F.col("size") / BLOCK)), F.lit(0)).cast("int").alias("block"), "u")
+    return links.select("v", F.lit(0).alias("block"), "u").union(back).distinct()
+
+
 def descend(packed: DataFrame, rounds: int = 3, still: float = 0.02) -> DataFrame:
     """The neighbour graph: node, and its ``DEGREE`` nearest found, nearest first.
 
-    Ends after ``rounds``, or when a round changes less than ``still`` of the links.
-    The links of a node with very many reverse neighbours are dealt into blocks.
-    """
+    Ends after ``rounds``, or when a round changes less than ``still`` of the links."""
     spread = packed.select("node", "q", "scale", F.posexplode("codes").alias("tree", "code"))
     sizes = stored(spread.groupBy("tree", "code").agg(F.count("*").alias("size")), "ann-leaves")
     part = F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("size") / LEAF)).cast("int")
@@ -212,12 +220,8 @@ def descend(packed: DataFrame, rounds: int = 3, still: float = 0.02) -> DataFram
     alone = packed.select(F.col("node").alias("owner"), F.array().cast(_CANDIDATES).alias("found"))
     graph = stored(merged(first.union(alone), DEGREE), "ann-graph")
     for _ in range(rounds):
-        links = graph.select(F.col("owner").alias("v"), F.explode("found.node").alias("u"))
-        many = links.groupBy(F.col("u").alias("v")).agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
-        back = links.select(F.col("u").alias("v"), F.col("v").alias("u")).join(many, "v", "left").select(
-            "v", F.coalesce(F.pmod(F.xxhash64("u"), F.ceil(F.col("size") / BLOCK)), F.lit(0)).cast("int").alias("block"), "u")
         same = graph.select(F.col("owner").alias("v"), F.lit(0).alias("block"), F.col("owner").alias("u"))
-        edges = links.select("v", F.lit(0).alias("block"), "u").union(back).union(same).distinct()
+        edges = both_ways(graph).union(same)
         known = packed.select(F.col("node").alias("u"), "q", "scale").join(
             graph.select(F.col("owner").alias("u"), _least("found", DEGREE).alias("least")), "u")
         new = edges.join(known, "u").select("v", "block", "u", "q", "scale", "least").repartition("v", "block").sortWithinPartitions(
@@ -286,8 +290,10 @@ def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, beam: int =
         "query", "q", "scale", F.transform(F.array_distinct(start), lambda node: F.struct(
             F.lit(_NOTHING).cast("float").alias("sim"), node.alias("node"))).alias("found"),
         F.array().cast("array<bigint>").alias("done"), none.alias("gained")).mapInArrow(advance, kind), "ann-state")
-    near = graph.select("owner", F.explode("found.node").alias("node")).join(packed.select("node", "q", "scale"), "node")
-    pages = stored(near.groupBy("owner").agg(F.collect_list(F.struct("node", "q", "scale")).alias("near")), "ann-pages")
+    # Links lead both ways, so that a node few others are near to can be reached.
+    near = both_ways(graph).select(F.col("v").alias("owner"), "block", F.col("u").alias("node")).join(
+        packed.select("node", "q", "scale"), "node")
+    pages = stored(near.groupBy("owner", "block").agg(F.collect_list(F.struct("node", "q", "scale")).alias("near")), "ann-pages")
     for _ in range(steps):
         front = state.select("query", "q", "scale", _least("found", beam).alias("least"), F.explode("next").alias("owner"))
         if not front.limit(1).count():

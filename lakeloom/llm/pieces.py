@@ -13,6 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeloom.llm.common import hash_spans, list_column, require, slices, text_bytes
 
@@ -283,8 +284,8 @@ def encode(docs: DataFrame, vocab: Vocabulary, prefix: bool = True) -> DataFrame
                     [*part.columns, list_column(ids, counts, pa.int32()), pa.array(np.diff(spelled)), pa.array(exact)],
                     [*part.schema.names, "ids", "n_byte_ids", "exact"])
 
-    schema = docs.sparkSession.createDataFrame([], "ids array<int>, n_byte_ids long, exact boolean").schema
-    return plain.mapInArrow(run, type(schema)([*plain.schema.fields, *schema.fields]))
+    added = StructType.fromDDL("ids array<int>, n_byte_ids long, exact boolean")
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, *added.fields]))
 
 
 def decode(rows: DataFrame, vocab: Vocabulary, prefix: bool = True) -> DataFrame:
@@ -307,4 +308,4 @@ def decode(rows: DataFrame, vocab: Vocabulary, prefix: bool = True) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
-    return plain.mapInArrow(run, plain.withColumn("decoded", F.lit("")).schema)
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, StructField("decoded", StringType())]))
