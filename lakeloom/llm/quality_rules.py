@@ -34,6 +34,9 @@ CONSISTENT = 1.412
 CUTOFF = 25.74
 #: Histogram steps per doubling of the distance.
 FINE = 32
+#: Estimates that may be broadcast (some 200 bytes each), and rows a salted part has.
+SHIPPED = 20_000
+PART_ROWS = 1_000_000
 
 _N = len(AXES)
 _PAIRS = [(i, j) for i in range(_N) for j in range(i, _N)]
@@ -93,10 +96,20 @@ def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.schema.names[0], *(f"m{i}" for i in range(_N)), *(f"p{i}{j}" for i, j in _PAIRS)])
 
 
-def _step(rows: DataFrame, fits: DataFrame) -> DataFrame:
+def _with_fit(rows: DataFrame, fits: DataFrame, key: str, salts: int, how: str = "inner") -> DataFrame:
+    """Join estimates to rows. A group may hold all rows, so they are never dealt by
+    group alone: up to ``SHIPPED`` estimates go to every task, and more are repeated
+    for each of ``salts`` parts that the rows are dealt into."""
+    if fits.count() <= SHIPPED:
+        return rows.join(F.broadcast(fits), key, how)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", *[f"x{i}" for i in range(_N)]), F.lit(salts)))
+    return salted.join(fits.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), [key, "salt"], how)
+
+
+def _step(rows: DataFrame, fits: DataFrame, salts: int) -> DataFrame:
     """One concentration step for every group at once."""
     cell = F.floor(F.log2(F.greatest(_distance(), F.lit(1e-9))) * FINE)
-    near = rows.join(fits, "group").select("group", cell.alias("cell"), *[f"x{i}" for i in range(_N)])
+    near = _with_fit(rows, fits, "group", salts).select("group", cell.alias("cell"), *[f"x{i}" for i in range(_N)])
     sums = [F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(_N)],
             *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in _PAIRS]]
     cells = near.groupBy("group", "cell").agg(*sums)
@@ -127,7 +140,8 @@ def judge(docs: DataFrame, steps: int = 6, least: int = 200, cutoff: float = CUT
         *[f"x{i}" for i in range(_N)]), "rules-stats")
     sound = rows.where(~F.col("base_failed"))
     axes = [f"x{i}" for i in range(_N)]
-    levels = sound.select(F.explode(F.array(F.lit("all"), "language", "site")).alias("group"), *axes)
+    salts = rows.count() // PART_ROWS + 1
+    levels = sound.select("doc_id", F.explode(F.array(F.lit("all"), "language", "site")).alias("group"), *axes)
     sizes = sound.groupBy("site", "language").agg(F.count("*").alias("n"))
     by_language = Window.partitionBy("language")
     group = F.when(F.col("n") >= least, F.col("site")).when(
@@ -135,8 +149,8 @@ def judge(docs: DataFrame, steps: int = 6, least: int = 200, cutoff: float = CUT
     chosen = sizes.select("site", group.alias("group"))
     fits = stored(_start(levels), "rules-fit")
     for _ in range(steps):
-        fits = stored(_step(levels, fits), "rules-fit")
+        fits = stored(_step(levels, fits, salts), "rules-fit")
     by_site = stored(chosen.join(fits, "group").drop("group"), "rules-sites")
-    far = rows.join(by_site, "site", "left").withColumn("distance", _distance())
+    far = _with_fit(rows, by_site, "site", salts, "left").withColumn("distance", _distance())
     return far.select("doc_id", *COUNTS[:5], "base_failed", "distance", F.coalesce(
         ~F.col("base_failed") & (F.col("distance") <= cutoff), F.lit(False)).alias("kept"))

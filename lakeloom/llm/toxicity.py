@@ -106,11 +106,11 @@ def fit(texts: list[str | None], labels: np.ndarray, steps: int = 80, rate: floa
 
     Features enter if at least ``least`` toxic texts hold them and their log odds
     of standing in a toxic text are ``sure`` standard errors above even. Without
-    both classes the score is the base rate's.
+    both classes nothing is known to be toxic, and all texts score 0.
     """
     labels = np.asarray(labels, bool)
     if labels.all() or not labels.any():
-        return Model(np.zeros(FEATURES, np.float32), 6.0 if len(labels) and labels.all() else -12.0)
+        return Model(np.zeros(FEATURES, np.float32), -12.0)
     flat, bounds = text_bytes(pa.array(texts, pa.string()))
     flat = lower_ascii(flat)
     bag = bag_of(flat, bounds)
@@ -193,9 +193,12 @@ def _score_part(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray,
     flat = lower_ascii(flat)
     bag = bag_of(flat, bounds)
     z = _sentence_scores(flat, bag, model)
-    score = -np.expm1(-np.bincount(bag.text, np.logaddexp(0, z), minlength=len(texts)))
+    # What even a sentence without any known feature would add is left out, so that
+    # length alone makes no text toxic.
+    weight = np.maximum(np.logaddexp(0, z) - np.logaddexp(0, model.bias), 0)
+    score = -np.expm1(-np.bincount(bag.text, weight, minlength=len(texts)))
     shift = letters[bounds[bag.text]]
-    return score, letters[bag.start] - shift, letters[bag.end] - shift, 1 / (1 + np.exp(-np.clip(z, -40, 40))), bag.text
+    return score, letters[bag.start] - shift, letters[bag.end] - shift, -np.expm1(-weight), bag.text
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:

@@ -10,8 +10,8 @@ from lakeloom.llm import toxicity
 
 @pytest.fixture(scope="module")
 def model():
-    clean = [f"The {a} tea is fine today. We like {b} walks." for a in ("green", "black", "cold") for b in ("long", "short", "slow")] * 4
-    toxic = [f"{text} You {word}!" for text, word in zip(clean, ("grumpft", "grumpfig", "zork") * 12)]
+    clean = [f"The {a} tea is fine today. We like {b} walks." for a in ("green", "black", "cold") for b in ("long", "short", "slow")] * 60
+    toxic = [f"{text} You {word}!" for text, word in zip(clean, ("grumpft", "grumpfig", "zork") * 30)]
     return toxicity.fit(clean + toxic, np.array([0] * len(clean) + [1] * len(toxic)))
 
 
