@@ -44,7 +44,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in files that follow the mix: sources interleave in blocks by
     target weights, sizes to the power of 0.7."""
-    return mixing.in_order(mixing.mix(docs)).select(*[F.col(f"`{name}`") for name in docs.columns])
+    packed = docs.select("doc_id", "source", F.struct("*").alias("row"))
+    return mixing.in_order(mixing.mix(packed)).select("row.*")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
