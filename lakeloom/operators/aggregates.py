@@ -23,11 +23,13 @@ def grouped_mean_and_sum(df: DataFrame, key: str, value: str, digits: int = 2) -
 
 
 def grouped_sums(df: DataFrame, keys: Mapping[str, Column], sums: Mapping[str, Column],
-                 condition: Column | None = None, count_as: str | None = None) -> DataFrame:
-    """Filter, then group by computed keys; every measure is a sum or a count, so
-    map-side partial aggregation shrinks hot groups before the shuffle."""
+                 condition: Column | None = None, count_as: str | None = None,
+                 more: Mapping[str, Column] | None = None) -> DataFrame:
+    """Filter, then group by computed keys; sums and counts are combined map-side,
+    which shrinks hot groups before the shuffle. ``more`` adds other aggregates."""
     rows = df if condition is None else df.where(condition)
     measures = [F.sum(value).alias(name) for name, value in sums.items()]
+    measures += [value.alias(name) for name, value in (more or {}).items()]
     if count_as:
         measures.insert(0, F.count("*").alias(count_as))
     return rows.groupBy(*[value.alias(name) for name, value in keys.items()]).agg(*measures)
@@ -38,9 +40,11 @@ def star_join_sums(fact: DataFrame, dimension: DataFrame, join_key: str | Sequen
                    count_as: str = "row_cnt") -> DataFrame:
     """Fact joined to a dimension, then grouped.
 
-    No hint is given: Spark broadcasts the dimension when its measured size is
-    under the threshold, and otherwise sorts and merges, where adaptive skew
-    handling splits a hot join key. The grouping keys do not include the join
+    Join the fact to its largest dimension first and give the result as ``fact``: a
+    join of dimensions is estimated as a product of sizes, beside which the fact looks
+    small enough to broadcast. No hint is given: Spark broadcasts a side whose
+    estimated size is under the threshold, and otherwise sorts and merges, where
+    adaptive skew handling splits a hot join key. The grouping keys do not include the join
     key, so that split stays possible, and partial aggregation runs in the join's
     own stage.
     """

@@ -46,12 +46,27 @@ def row_filter(df: DataFrame, policy: RowPolicy, groups: Iterable[str]) -> DataF
     return df if policy.group in frozenset(groups) else df.where(policy.otherwise)
 
 
+def _text(value: str) -> str:
+    """A SQL string literal; backslashes and quotes are taken as they are."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _name(value: str) -> str:
+    """A SQL identifier of one part."""
+    return "`" + value.replace("`", "``") + "`"
+
+
+def _path(value: str) -> str:
+    """A table, view or function name of parts joined by dots."""
+    return ".".join(_name(part) for part in value.split("."))
+
+
 def member_test(group: str, memberships: str) -> str:
     """SQL test, evaluated per read, whether the current user is in a group."""
-    name = group.replace("'", "''")
     return (
-        f"(SELECT count(*) > 0 FROM {memberships} m "
-        f"WHERE m.user_name = current_user() AND m.group_name = '{name}')"
+        f"(SELECT count(*) > 0 FROM {_path(memberships)} m "
+        f"WHERE m.user_name = current_user() AND m.group_name = {_text(group)})"
     )
 
 
@@ -60,8 +75,8 @@ def create_mask_function(spark: SparkSession, name: str, argument: str, kind: st
     """A SQL function ``name(member, value)``: the value as text, or the mask."""
     scope = "TEMPORARY " if temporary else ""
     spark.sql(
-        f"CREATE OR REPLACE {scope}FUNCTION {name}(is_member BOOLEAN, {argument} {kind}) RETURNS STRING "
-        f"RETURN CASE WHEN is_member THEN CAST({argument} AS STRING) ELSE '{MASK_TEXT}' END"
+        f"CREATE OR REPLACE {scope}FUNCTION {_path(name)}(is_member BOOLEAN, {_name(argument)} {kind}) RETURNS STRING "
+        f"RETURN CASE WHEN is_member THEN CAST({_name(argument)} AS STRING) ELSE {_text(MASK_TEXT)} END"
     )
 
 
@@ -70,11 +85,11 @@ def create_masked_view(spark: SparkSession, view: str, source: str, masked: Mapp
     """A view whose columns in ``masked`` (column to function name) go through
     their mask function; ``member`` is a SQL boolean expression."""
     columns = [
-        f"{masked[name]}({member}, {name}) AS {name}" if name in masked else name
-        for name in spark.table(source).columns
+        f"{_path(masked[name])}({member}, {_name(name)}) AS {_name(name)}" if name in masked else _name(name)
+        for name in spark.table(_path(source)).columns
     ]
     scope = "TEMPORARY " if temporary else ""
-    spark.sql(f"CREATE OR REPLACE {scope}VIEW {view} AS SELECT {', '.join(columns)} FROM {source}")
+    spark.sql(f"CREATE OR REPLACE {scope}VIEW {_path(view)} AS SELECT {', '.join(columns)} FROM {_path(source)}")
 
 
 def create_filtered_view(spark: SparkSession, view: str, source: str, member: str,
@@ -82,6 +97,6 @@ def create_filtered_view(spark: SparkSession, view: str, source: str, member: st
     """A view showing all rows to members and matching rows to others."""
     scope = "TEMPORARY " if temporary else ""
     spark.sql(
-        f"CREATE OR REPLACE {scope}VIEW {view} AS SELECT * FROM {source} "
+        f"CREATE OR REPLACE {scope}VIEW {_path(view)} AS SELECT * FROM {_path(source)} "
         f"WHERE CASE WHEN {member} THEN TRUE ELSE {predicate} END"
     )

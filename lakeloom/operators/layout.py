@@ -9,14 +9,18 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
+from lakeloom.session import conf_scope
 from lakeloom.sources.files import stored_bytes
 
 TARGET_FILE_BYTES = 256 << 20
+#: Rows that cut points are taken from.
+SAMPLE_ROWS = 20_000
 Z_VALUE = "_z"
 _SPREAD = "_spread"
 
@@ -25,9 +29,15 @@ def files_for(total_bytes: int, file_bytes: int = TARGET_FILE_BYTES) -> int:
     return max(1, -(-total_bytes // file_bytes))
 
 
-def compact(spark: SparkSession, path: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> None:
+def compact(spark: SparkSession, path: str, target: str, file_bytes: int = TARGET_FILE_BYTES,
+            partition_by: Sequence[str] = ()) -> None:
     """Rewrite many small files as few of about ``file_bytes``, without a shuffle:
-    the scan itself packs small files into splits of that size."""
+    the scan itself packs small files into splits of that size. Name the columns of
+    a partitioned folder: its rows are rebalanced by them and the folders kept."""
+    if partition_by:
+        with conf_scope(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes)}):
+            write_partitioned(spark.read.parquet(path), target, partition_by)
+        return
     packing = spark.newSession()
     packing.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
     packing.conf.set("spark.sql.files.openCostInBytes", "0")
@@ -56,62 +66,61 @@ def spread_by(df: DataFrame, partitions: int, *columns: str, salts: int = 1) ->
     up to that many partitions, for keys that are too few or too hot."""
     if salts <= 1:
         return df.repartition(partitions, *columns)
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
-    return df.withColumn(_SPREAD, salt).repartition(partitions, *columns, _SPREAD).drop(_SPREAD)
-
-
-def _as_number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number for a column; strings use their first 7 bytes,
-    which steers placement only."""
-    kind = df.schema[name].dataType
-    column = F.col(name)
-    if isinstance(kind, StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(column, "utf-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(kind, DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
-    if isinstance(kind, NumericType):
-        return column.cast("double")
-    raise TypeError(f"cannot cluster by {name}: {kind.simpleString()}")
-
-
-def _rank_steps(df: DataFrame, value: str, cuts: Sequence[float], bits: int, rank: str) -> DataFrame:
-    """Number of cut points not above ``value``, by binary search over a literal
-    array: one comparison per bit, all in generated code."""
-    points = F.array(*[F.lit(float(cut)) for cut in cuts])
+    return df.withColumn(_SPREAD, _row_salt(df, salts)).repartition(partitions, *columns, _SPREAD).drop(_SPREAD)
+
+
+def _row_salt(df: DataFrame, salts: int) -> Column:
+    """A number per row from its columns, the same when a task is run again."""
+    plain = [field.name for field in df.schema.fields if not isinstance(field.dataType, (MapType, VariantType))]
+    return F.pmod(F.xxhash64(*plain), F.lit(salts))
+
+
+def cut_points(df: DataFrame, columns: Sequence[str], parts: int, sample_rows: int = SAMPLE_ROWS) -> list[list]:
+    """Up to ``parts - 1`` ascending cut points of each column, in its own type and
+    full length, from a sample of about ``sample_rows`` rows. They steer placement
+    only, so a sample does; its size bounds what is collected."""
+    for name in columns:
+        if isinstance(df.schema[name].dataType, (ArrayType, MapType, StructType, VariantType)):
+            raise TypeError(f"cannot cluster by {name}: {df.schema[name].dataType.simpleString()}")
+    rows = df.select(*columns)
+    share = min(1.0, sample_rows / max(1, rows.count()))
+    held = rows if share == 1.0 else rows.sample(share, seed=17)
+    sample = held.limit(2 * sample_rows).collect()
+    cuts = []
+    for place in range(len(columns)):
+        values = sorted(row[place] for row in sample if row[place] is not None and row[place] == row[place])
+        picked = [values[len(values) * part // parts] for part in range(1, parts)] if values else []
+        cuts.append(picked)
+    return cuts
+
+
+def _rank_steps(df: DataFrame, column: str, cuts: Sequence, bits: int, rank: str) -> DataFrame:
+    """Number of cut points not above the column, by binary search over a literal
+    array: one comparison per bit, all in generated code. A null is below all."""
     ranked = df.withColumn(rank, F.lit(0))
+    if not cuts:
+        return ranked
+    kind = df.schema[column].dataType
+    points = F.array(*[F.lit(cut).cast(kind) for cut in cuts])
     for bit in reversed(range(bits)):
         step = 1 << bit
-        above = F.col(value) >= F.element_at(points, F.col(rank) + F.lit(step))
+        above = F.col(column) >= F.element_at(points, F.col(rank) + F.lit(step))
         ranked = ranked.withColumn(rank, F.col(rank) + F.when(above, F.lit(step)).otherwise(F.lit(0)))
     return ranked
 
 
 def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
-    """Add the Morton code of the columns' quantile ranks.
-
-    Bounds come from one approximate-percentile pass, so skewed columns still use
-    the whole code range, and no global ranking is needed.
-    """
-    numbers = {f"_n{i}": _as_number(df, name) for i, name in enumerate(columns)}
-    fractions = [i / (1 << bits) for i in range(1, 1 << bits)]
-    bounds = df.select(*[value.alias(name) for name, value in numbers.items()]).agg(
-        *[F.percentile_approx(name, fractions, 20 << bits).alias(name) for name in numbers]
-    ).first()
-    coded = df.withColumns(numbers)
-    code = F.lit(0).cast("bigint")
-    ranks = []
-    for i, name in enumerate(numbers):
+    """Add the Morton code of the columns' ranks among sampled quantiles, so that
+    skewed columns still use the whole code range without a global ranking."""
+    coded, code, ranks = df, F.lit(0).cast("bigint"), []
+    for i, (name, cuts) in enumerate(zip(columns, cut_points(df, columns, 1 << bits))):
         rank = f"_r{i}"
-        cuts = bounds[name] or [0.0] * len(fractions)
         coded = _rank_steps(coded, name, cuts, bits, rank)
         ranks.append(rank)
         for bit in range(bits):
             part = F.shiftright(F.col(rank), bit).bitwiseAND(F.lit(1)).cast("bigint")
             code = code.bitwiseOR(F.shiftleft(part, bit * len(columns) + i))
-    return coded.withColumn(Z_VALUE, code).drop(*numbers, *ranks)
+    return coded.withColumn(Z_VALUE, code).drop(*ranks)
 
 
 def cluster(df: DataFrame, target: str, columns: Sequence[str], files: int, bits: int = 8,
@@ -119,12 +128,11 @@ def cluster(df: DataFrame, target: str, columns: Sequence[str], files: int, bits
     """Write ``df`` so that files cover small ranges of every given column.
 
     The range shuffle is by (code, spread), so rows sharing one code, such as a
-    hot key, can be cut into several files.
+    hot key, can be cut into several files. Rows equal in all columns stay together.
     """
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(1024))
     (
         with_z_value(df, columns, bits)
-        .withColumn(_SPREAD, spread)
+        .withColumn(_SPREAD, _row_salt(df, 1024))
         .repartitionByRange(files, Z_VALUE, _SPREAD)
         .sortWithinPartitions(Z_VALUE)
         .drop(Z_VALUE, _SPREAD)
@@ -137,9 +145,13 @@ def cluster_files(spark: SparkSession, path: str, target: str, columns: Sequence
     """Cluster a stored table, or with ``modified_after`` only its newer files,
     which are added to the already clustered target."""
     reader = spark.read
+    total = stored_bytes(spark, path) if not modified_after else 0
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    files = files_for(stored_bytes(spark, path), file_bytes)
+        newer = spark.read.format("binaryFile").option("modifiedAfter", modified_after).option(
+            "recursiveFileLookup", "true").load(path)
+        total = newer.agg(F.sum("length")).first()[0] or 0
+    files = files_for(total, file_bytes)
     cluster(reader.parquet(path), target, columns, files, mode="append" if modified_after else "overwrite")
 
 
@@ -153,11 +165,29 @@ def file_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def swap_location(spark: SparkSession, table: str, path: str) -> None:
-    """Point a catalog table at a new folder in one metadata change."""
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    """Point an external catalog table at a new folder. A partition keeps a location
+    of its own, so those of a partitioned table are dropped from the catalog (their
+    files stay) and found again below the new folder."""
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    partitioned = any(column.isPartition for column in spark.catalog.listColumns(table))
+    specs = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()] if partitioned else []
+    for start in range(0, len(specs), 200):
+        parts = ", ".join(f"PARTITION {_partition(spec)}" for spec in specs[start:start + 200])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+    if partitioned:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table)
 
 
+def _partition(spec: str) -> str:
+    """``a=1/b=x`` as a SQL partition spec."""
+    pairs = (part.split("=", 1) for part in spec.split("/"))
+    return "(" + ", ".join("`{}` = '{}'".format(
+        unquote(name).replace("`", "``"), unquote(value).replace("\\", "\\\\").replace("'", "\\'"))
+        for name, value in pairs) + ")"
+
+
 def collect_statistics(spark: SparkSession, table: str, columns: Sequence[str] | str | None = None) -> None:
     """Table statistics, and column statistics for some columns or ``"all"``."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
@@ -193,6 +223,11 @@ def cached_table(spark: SparkSession, table: str, warm: bool = True) -> Iterator
         spark.catalog.uncacheTable(table)
 
 
+def clear_cache(spark: SparkSession) -> None:
+    """Drop every cached table and frame of the session's application."""
+    spark.catalog.clearCache()
+
+
 def timed(make: Callable[[], DataFrame], runs: int = 3) -> list[float]:
     """Seconds of each full execution; the no-op sink keeps every column and the
     sort, which a count would let the optimizer drop."""

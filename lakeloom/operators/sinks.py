@@ -48,26 +48,28 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def append_run(df: DataFrame, path: str, run_column: str = "_run_id") -> int:
-    """Append one run's rows under its own partition and return their number.
+def append_run(df: DataFrame, path: str, run_id: str, run_column: str = "_run_id") -> int:
+    """Store one run's rows in its own partition folder and return their number.
 
-    A retry of the run replaces that partition instead of adding rows twice. The
-    count rides on the write, so the source is read once.
+    The folder is overwritten whole: a retry adds nothing twice, and one without rows
+    leaves none. The count rides on the write, so the source is read once.
     """
     counter = Observation()
-    (
-        df.observe(counter, F.count("*").alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(run_column)
-        .parquet(path)
-    )
+    df.drop(run_column).observe(counter, F.count("*").alias("rows")).write.mode("overwrite").parquet(
+        _run_folder(path, run_id, run_column))
     return counter.get["rows"]
 
 
+def _run_folder(path: str, run_id: str, run_column: str) -> str:
+    """A partition folder; characters that paths reserve are written as Spark does."""
+    name = "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{}[]^\x7f' or ord(c) < 32 else c for c in run_id)
+    return f"{path}/{run_column}={name}"
+
+
 def read_run(spark: SparkSession, path: str, run_id: str, run_column: str = "_run_id") -> DataFrame:
     """One run's rows; only that run's folder is listed."""
-    return spark.read.option("basePath", path).parquet(f"{path}/{run_column}={run_id}")
+    rows = spark.read.parquet(_run_folder(path, run_id, run_column))
+    return rows.withColumn(run_column, F.lit(run_id))
 
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:

@@ -117,7 +117,7 @@ class IncrementalLoader:
             return LoadResult(name, SUCCESS, 0, None)
         window = sources[name].read_between(self.spark, column, low, high)
         rows = with_run_lineage(window, name, run_id, moment)
-        count = append_run(rows, self.bronze(setting["target_schema"], setting["target_table"]))
+        count = append_run(rows, self.bronze(setting["target_schema"], setting["target_table"]), run_id)
         return LoadResult(name, SUCCESS, count, high)
 
     @staticmethod

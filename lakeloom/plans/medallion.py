@@ -29,12 +29,20 @@ def ingest_files(spark: SparkSession, path: str, state: str, table: str, table_p
 
 
 def refine_table(spark: SparkSession, bronze: str, bronze_path: str, silver_path: str, checkpoint: str,
-                 keys: Sequence[str], event_time_column: str, delay: str = "1 day") -> StreamingQuery:
-    """New bronze rows, deduplicated per key and event time, into silver."""
-    rows = spark.readStream.table(bronze)
+                 keys: Sequence[str], event_time_column: str, delay: str = "1 day",
+                 max_files_per_trigger: int | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """New bronze rows, deduplicated per key and event time, into silver.
+
+    ``max_files_per_trigger`` caps a micro-batch, so that a backlog is worked off in
+    steps; ``state_partitions`` is for the size the state will grow to.
+    """
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = reader.table(bronze)
     return drain(
         dedup_by_event_time(rows, keys, event_time_column, delay),
-        silver_path, checkpoint, state_settings(spark, bronze_path),
+        silver_path, checkpoint, state_settings(spark, bronze_path, state_partitions),
     )
 
 

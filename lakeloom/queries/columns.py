@@ -86,8 +86,8 @@ def dq_run_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fixture(spark, sf_dir, "orders")
     early = orders.where("o_orderdate < '1998-01-01'")
     late = orders.where("o_orderdate >= '1998-01-01'")
-    append_run(with_run_lineage(early, "sales.orders", "run-1", LOAD_TIME), path)
-    append_run(with_run_lineage(late, "sales.orders", "run-2", LOAD_TIME), path)
+    append_run(with_run_lineage(early, "sales.orders", "run-1", LOAD_TIME), path, "run-1")
+    append_run(with_run_lineage(late, "sales.orders", "run-2", LOAD_TIME), path, "run-2")
     return scoped_to_run(read_run(spark, path, "run-2"), "run-2").select("o_orderkey", "o_totalprice")
 
 

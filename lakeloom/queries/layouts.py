@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators import layout
@@ -11,49 +14,81 @@ from lakeloom.queries.reports import STAR_SQL, join_star_agg
 from lakeloom.session import ADAPTIVE_OFF, conf_scope, scratch_path
 from lakeloom.sources.files import fixture, fixture_glob, stored_bytes, table_detail
 
-TOTALS_SQL = """
-SELECT l_returnflag, l_linestatus, count(*) AS row_count, sum(l_quantity) AS quantity,
-       round(sum(l_extendedprice), 2) AS revenue, CAST(sum(l_orderkey) AS BIGINT) AS key_sum
-FROM lineitem GROUP BY ALL
-"""
-
-
-def _totals(df: DataFrame) -> DataFrame:
-    return df.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count("*").alias("row_count"), F.sum("l_quantity").alias("quantity"),
-        F.round(F.sum("l_extendedprice"), 2).alias("revenue"), F.sum("l_orderkey").alias("key_sum"),
-    )
+#: Layout jobs move whole rows, so whole rows are compared.
+LINES_SQL = "SELECT * FROM lineitem"
 
 
 def _files(spark: SparkSession, sf_dir: str) -> int:
     return max(16, layout.files_for(stored_bytes(spark, fixture_glob(sf_dir, "lineitem"))))
 
 
-@register(TOTALS_SQL)
+@register(LINES_SQL)
 def layout_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files into few."""
     small, large = scratch_path(spark, "small"), scratch_path(spark, "large")
     files = 4 * _files(spark, sf_dir)
     layout.spread_by(fixture(spark, sf_dir, "lineitem"), files, "l_orderkey").write.parquet(small)
     layout.compact(spark, small, large)
-    return _totals(spark.read.parquet(large))
+    return spark.read.parquet(large)
 
 
-@register("""
-SELECT l_suppkey, count(*) AS row_count, round(sum(l_extendedprice), 2) AS revenue,
-       CAST(sum(l_partkey) AS BIGINT) AS key_sum
-FROM lineitem GROUP BY l_suppkey
-""")
+@register(LINES_SQL)
 def layout_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "zorder")
     layout.cluster(fixture(spark, sf_dir, "lineitem"), path, ["l_partkey", "l_suppkey"], _files(spark, sf_dir))
-    return spark.read.parquet(path).groupBy("l_suppkey").agg(
-        F.count("*").alias("row_count"), F.round(F.sum("l_extendedprice"), 2).alias("revenue"),
-        F.sum("l_partkey").alias("key_sum"),
-    )
+    return spark.read.parquet(path)
 
 
-@register(TOTALS_SQL)
+@register("""
+SELECT c_name, count(*) AS row_count, TRUE AS half_of_files_or_less FROM customer
+WHERE c_custkey % 10 = 3 GROUP BY c_name
+""")
+def layout_cluster_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clustered by a text with a common beginning: the range of a file's names shows
+    which files a name can stand in."""
+    path = scratch_path(spark, "names")
+    customers = fixture(spark, sf_dir, "customer")
+    layout.cluster(customers, path, ["c_name"], 8)
+    stored = spark.read.parquet(path)
+    bounds = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min("c_name").alias("low"), F.max("c_name").alias("high")).collect()
+    names = stored.where("c_custkey % 10 = 3").groupBy("c_name").agg(F.count("*").alias("row_count"))
+    touched = sum((F.col("c_name").between(row["low"], row["high"]).cast("int") for row in bounds), F.lit(0))
+    return names.withColumn("half_of_files_or_less", touched <= len(bounds) / 2)
+
+
+@register(LINES_SQL)
+def layout_cluster_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table clustered as a whole, then only its newer files."""
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "clustered")
+    lines, columns = fixture(spark, sf_dir, "lineitem"), ["l_shipdate", "l_partkey"]
+    lines.where("l_shipdate < '2000-01-01'").write.parquet(source)
+    layout.cluster_files(spark, source, target, columns)
+    newest = spark.read.format("binaryFile").load(source).agg(F.max("modificationTime")).first()[0]
+    time.sleep(1.1)  # file times are compared by the second
+    lines.where("l_shipdate >= '2000-01-01'").write.mode("append").parquet(source)
+    since = (newest + timedelta(milliseconds=500)).strftime("%Y-%m-%dT%H:%M:%S")
+    layout.cluster_files(spark, source, target, columns, modified_after=since)
+    return spark.read.parquet(target)
+
+
+@register(LINES_SQL)
+def layout_compact_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned catalog table, compacted with its folders and swapped over."""
+    small, large, out = (scratch_path(spark, part) for part in ("small", "large", "rows"))
+    table = f"lines_{small.rsplit('-', 1)[1]}"
+    lines = fixture(spark, sf_dir, "lineitem")
+    layout.write_partitioned_table(lines.repartition(_files(spark, sf_dir)), table, small, ["l_linenumber"])
+    try:
+        layout.compact(spark, small, large, partition_by=["l_linenumber"])
+        layout.swap_location(spark, table, large)
+        spark.table(table).select(*lines.columns).write.parquet(out)
+    finally:
+        drop_table(spark, table)
+    return spark.read.parquet(out).withColumn("l_linenumber", F.col("l_linenumber").cast("int"))
+
+
+@register(LINES_SQL)
 def layout_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clustered by a text, a time and a number; a later arrival is clustered by
     itself and added."""
@@ -62,7 +97,7 @@ def layout_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["l_returnflag", "l_shipdate", "l_partkey"]
     layout.cluster(lines.where("l_shipdate < '2000-01-01'"), path, columns, files, bits=5)
     layout.cluster(lines.where("l_shipdate >= '2000-01-01'"), path, columns, max(1, files // 4), bits=5, mode="append")
-    return _totals(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 @register("""
@@ -88,12 +123,12 @@ def layout_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-@register(TOTALS_SQL)
+@register(LINES_SQL)
 def layout_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many files on purpose from a key with few values, by salting it."""
     path, files = scratch_path(spark, "spread"), _files(spark, sf_dir)
     layout.spread_by(fixture(spark, sf_dir, "lineitem"), files, "l_returnflag", salts=files).write.parquet(path)
-    return _totals(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 @register("""
@@ -121,10 +156,14 @@ def layout_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "col_name string, num_nulls string, min string, max string")
 
 
-@register()
+@register("SELECT CAST(count(DISTINCT l_linenumber) AS BIGINT) AS num_files, TRUE AS has_bytes FROM lineitem")
 def layout_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File count and bytes of lineitem; depends on how it is stored."""
-    return table_detail(spark, fixture_glob(sf_dir, "lineitem"))
+    """File count and bytes of lineitem, stored as one file a line number."""
+    path = scratch_path(spark, "lines")
+    for row in fixture(spark, sf_dir, "lineitem").select("l_linenumber").distinct().collect():
+        fixture(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == row[0]).coalesce(1).write.mode("append").parquet(path)
+    detail = table_detail(spark, path)
+    return detail.select(F.col("num_files").cast("bigint").alias("num_files"), (F.col("size_in_bytes") > 0).alias("has_bytes"))
 
 
 @register(STAR_SQL)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators import governance as gov
+from lakeloom.operators.sinks import drop_table, register_table
 from lakeloom.queries.registry import register
+from lakeloom.session import scratch_path
 from lakeloom.sources.files import fixture
 
 GROUP = "order_auditors"
@@ -51,6 +53,53 @@ def gov_mask_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("policy_masked_orders")
 
 
+def _as_member(spark: SparkSession, sf_dir: str) -> str:
+    """The same memberships, and the current user in the group of interest."""
+    name = "policy_members"
+    mine = spark.sql("SELECT current_user() AS user_name").withColumn("group_name", F.lit(GROUP))
+    spark.table(_memberships(spark, sf_dir)).unionByName(mine).createOrReplaceTempView(name)
+    return name
+
+
+@register("SELECT * REPLACE (CAST(o_orderkey AS VARCHAR) AS o_orderkey) FROM orders")
+def gov_mask_view_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixture(spark, sf_dir, "orders").createOrReplaceTempView("policy_orders")
+    gov.create_mask_function(spark, "mask_order_key", "o_orderkey", "BIGINT")
+    member = gov.member_test(GROUP, _as_member(spark, sf_dir))
+    gov.create_masked_view(spark, "policy_member_orders", "policy_orders", {"o_orderkey": "mask_order_key"}, member)
+    return spark.table("policy_member_orders")
+
+
+@register(MASKED_SQL)
+def gov_mask_view_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored view and function over stored tables; the rows outlive both."""
+    orders, members, out = (scratch_path(spark, part) for part in ("orders", "members", "rows"))
+    mark = orders.rsplit("-", 1)[1]
+    tables = {f"orders_{mark}": (fixture(spark, sf_dir, "orders"), orders),
+              f"members_{mark}": (spark.table(_memberships(spark, sf_dir)), members)}
+    for name, (rows, path) in tables.items():
+        register_table(rows, name, path)
+    try:
+        gov.create_mask_function(spark, f"mask_{mark}", "o_orderkey", "BIGINT", temporary=False)
+        gov.create_masked_view(spark, f"masked_{mark}", f"orders_{mark}", {"o_orderkey": f"mask_{mark}"},
+                               gov.member_test(GROUP, f"members_{mark}"), temporary=False)
+        spark.table(f"masked_{mark}").write.parquet(out)
+    finally:
+        spark.sql(f"DROP VIEW IF EXISTS masked_{mark}")
+        spark.sql(f"DROP FUNCTION IF EXISTS mask_{mark}")
+        for name in tables:
+            drop_table(spark, name)
+    return spark.read.parquet(out)
+
+
+@register("SELECT * FROM orders")
+def gov_rls_view_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixture(spark, sf_dir, "orders").createOrReplaceTempView("policy_orders")
+    member = gov.member_test(GROUP, _as_member(spark, sf_dir))
+    gov.create_filtered_view(spark, "policy_member_rows", "policy_orders", member, "o_orderstatus = 'O'")
+    return spark.table("policy_member_rows")
+
+
 @register("SELECT * FROM orders")
 def gov_rls_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gov.row_filter(fixture(spark, sf_dir, "orders"), _only_open(), {GROUP})

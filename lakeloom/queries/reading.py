@@ -256,7 +256,7 @@ def incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shape_observe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of a write, observed while writing."""
     rows = with_run_lineage(fixture(spark, sf_dir, "events"), "sales.events", "run-1", LOAD_TIME)
-    count = sinks.append_run(rows, scratch_path(spark, "bronze"))
+    count = sinks.append_run(rows, scratch_path(spark, "bronze"), "run-1")
     return spark.createDataFrame([("sales.events", count)], "source string, row_count bigint")
 
 

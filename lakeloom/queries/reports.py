@@ -24,11 +24,12 @@ GROUP BY ALL
 @register(STAR_SQL)
 def join_star_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its customers' segments, grouped by four keys."""
-    lines = fixture(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    lines = fixture(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_returnflag", "l_linestatus", "l_shipdate", "l_extendedprice")
     orders = fixture(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     customers = fixture(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     sums = agg.star_join_sums(
-        lines, orders.join(customers, "c_custkey"), "o_orderkey",
+        lines.join(orders, "o_orderkey"), customers, "c_custkey",
         keys={"region": F.col("l_returnflag"), "product_category": F.col("l_linestatus"),
               "customer_tier": F.col("c_mktsegment"), "event_month": F.date_trunc("month", "l_shipdate")},
         sums={"revenue": F.col("l_extendedprice")},
@@ -96,6 +97,32 @@ def agg_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.withColumn("revenue", F.round("revenue", 2)).orderBy(F.desc("revenue"))
 
 
+@register("""
+SELECT l_linenumber AS region_id, l_returnflag AS channel_id,
+       CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS sale_month, count(*) AS orders,
+       sum(l_quantity) AS units, round(sum(l_quantity * l_extendedprice), 2) AS revenue,
+       count(DISTINCT l_partkey) AS parts, TRUE AS estimate_within_bound
+FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '2000-10-01'
+  AND l_linenumber IN (1, 2, 3, 4, 5)
+GROUP BY ALL
+""")
+def agg_wide_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide report with estimated distinct parts, checked against the exact
+    count: off by at most four standard errors."""
+    error = 0.05
+    sums = agg.grouped_sums(
+        fixture(spark, sf_dir, "lineitem"),
+        {"region_id": F.col("l_linenumber"), "channel_id": F.col("l_returnflag"),
+         "sale_month": F.date_trunc("month", "l_shipdate")},
+        {"units": F.col("l_quantity"), "revenue": F.col("l_quantity") * F.col("l_extendedprice")},
+        condition=F.expr(WIDE_FILTER), count_as="orders",
+        more={"parts": F.count_distinct("l_partkey"), "estimate": F.approx_count_distinct("l_partkey", error)},
+    )
+    near = F.abs(F.col("estimate") - F.col("parts")) <= 4 * error * F.col("parts") + 1
+    return sums.withColumns({"revenue": F.round("revenue", 2), "estimate_within_bound": near}).drop("estimate")
+
+
 @register()
 def agg_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Estimated distinct parts; the estimate differs between engines."""

@@ -33,12 +33,17 @@ def stream_dedup_evt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(spark, sf_dir, "lineitem", dedup_by_event_time(rows, keys, "l_shipdate"))
 
 
-@register("SELECT DISTINCT user_id, event_type FROM events")
+@register("SELECT * FROM events")
 def stream_dedup_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per key for all time; which copy is kept is not fixed."""
-    keys = ["user_id", "event_type"]
-    rows = dedup_by_key(_fixture_stream(spark, sf_dir, "events"), keys, "ts")
-    return _drained(spark, sf_dir, "events", rows).select(*keys)
+    """One row per key for all time; every event lands three times, twice in one run."""
+    landing, out, state = (scratch_path(spark, part) for part in ("landing", "silver", "state"))
+    events = fixture(spark, sf_dir, "events")
+    settings = state_settings(spark, fixture_glob(sf_dir, "events"))
+    for run, copies in enumerate((events.unionAll(events), events)):
+        land(copies, landing, f"2024020{run + 1}_000000")
+        stream = file_stream(spark, f"{landing}/*", events.schema)
+        drain(dedup_by_key(stream, ["event_id"], "ts", delay="60 days"), out, state, settings)
+    return spark.read.parquet(out)
 
 
 @register("SELECT DISTINCT user_id, event_type FROM events")
@@ -66,18 +71,19 @@ def stream_latest_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("""
 WITH mark AS (SELECT max(ts) - INTERVAL 15 DAY AS watermark FROM events)
-SELECT count(*) FILTER (ts >= watermark) AS kept, count(*) FILTER (ts < watermark) AS late
+SELECT count(*) FILTER (ts >= watermark) AS kept, 3 * count(*) FILTER (ts < watermark) AS late
 FROM events, mark
 """)
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that land after the watermark has passed them are dropped and
-    counted."""
+    """Events that land after the watermark has passed them are dropped and counted,
+    each of three copies."""
     landing, out, state = (scratch_path(spark, part) for part in ("landing", "silver", "state"))
     events = fixture(spark, sf_dir, "events")
     settings = state_settings(spark, fixture_glob(sf_dir, "events"))
     dropped = 0
     for run, part in enumerate(("ts >= '2024-01-20'", "ts >= '2024-01-10' AND ts < '2024-01-20'", "ts < '2024-01-10'")):
-        land(events.where(part), landing, f"2024020{run + 1}_000000")
+        rows = events.where(part)
+        land(rows.unionAll(rows).unionAll(rows), landing, f"2024020{run + 1}_000000")
         stream = file_stream(spark, f"{landing}/*", events.schema)
         deduped = dedup_by_event_time(stream, ["user_id", "event_type", "event_id"], "ts", delay="15 days")
         dropped += late_rows(drain(deduped, out, state, settings))
@@ -85,17 +91,17 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("late", F.lit(dropped).cast("bigint"))
 
 
-@register("SELECT event_id, user_id, value FROM events")
+@register("SELECT * FROM events")
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land, run, land, run, run: every landed file is taken exactly once."""
     landing, out, state = (scratch_path(spark, part) for part in ("landing", "bronze", "state"))
-    events = fixture(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    events = fixture(spark, sf_dir, "events")
     parts = ("ts < '2024-01-15'", "ts >= '2024-01-15'", None)
     for run, part in enumerate(parts):
         if part:
             land(events.where(part), landing, f"2024020{run + 1}_000000")
         drain(file_stream(spark, f"{landing}/*", events.schema), out, state)
-    return spark.read.parquet(out).select("event_id", "user_id", "value")
+    return spark.read.parquet(out)
 
 
 @register("SELECT event_type, count(*) AS row_count, TRUE AS several_batches FROM events GROUP BY event_type")

@@ -62,7 +62,12 @@ class JdbcTable:
         """Rows with ``low < column <= high``; a plain Spark predicate, which the
         JDBC relation pushes down in the database's own dialect."""
         split_by = self.partition_column or column
-        rows = self._read_split(spark, split_by, (low, high) if split_by == column else None)
+        bounds = None
+        if split_by == column and self.partitions > 1:
+            # Splits begin where rows do: a first load starts long before them.
+            first, _ = self.bounds(spark, column)
+            bounds = (low if first is None else max(low, first), high)
+        rows = self._read_split(spark, split_by, bounds)
         return rows.where((F.col(column) > F.lit(low)) & (F.col(column) <= F.lit(high)))
 
     def append(self, df: DataFrame, batch_size: int = 10_000) -> None:

@@ -1,74 +1,35 @@
-"""Streaming deduplication with watermarks.
+"""Streaming deduplication with watermarks, by Spark's own stateful operators.
 
-A stateful deduplication sends every copy of a key to one task. To keep a hot key
-from flooding that task, copies are first thinned where they are read, on
-bounded slices of Arrow batches, before the only shuffle. Spark has no built-in
-operator for that on a stream. Thinning decides nothing: the stateful operator
-still sees at least one copy of every key, the one with the latest event time, so
-a key with any copy ahead of the watermark is never lost.
+They keep the first row of a key that arrives and send all copies of a key to one
+task, which is fit for keys with a bounded number of copies. For hot keys use
+``insert_absent_batches`` or ``upsert_batches`` in ``lakeloom.streaming.runs``: they
+deduplicate each micro-batch with map-side combining and keep the memory in a table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-SLICE_BYTES = 32 << 20
 
+def _watermarked(df: DataFrame, event_time: str, delay: str) -> DataFrame:
+    return df.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
 
-def thinned(df: DataFrame, keys: Sequence[str], event_time: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """Per slice of a partition, one row per key: the one latest in event time."""
-    keys, timed = list(keys), event_time not in keys
 
-    def thin(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        def firsts(held: list) -> list:
-            table = pa.Table.from_batches(held)
-            if timed:
-                table = table.sort_by([(event_time, "descending")])
-            numbered = table.select(keys).append_column("__row", pa.array(np.arange(table.num_rows)))
-            kept = numbered.group_by(keys).aggregate([("__row", "min")])["__row_min"]
-            return table.take(kept).to_batches()
-
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size >= slice_bytes:
-                yield from firsts(held)
-                held, size = [], 0
-        if held:
-            yield from firsts(held)
-
-    return df.mapInArrow(thin, df.schema)
-
-
-def _watermarked(df: DataFrame, keys: Sequence[str], event_time: str, delay: str, thin: bool) -> DataFrame:
-    timed = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    rows = thinned(timed, keys, event_time) if thin else timed
-    return rows.withWatermark(event_time, delay)
-
-
-def dedup_by_event_time(df: DataFrame, keys: Sequence[str], event_time: str,
-                        delay: str = "1 day", thin: bool = True) -> DataFrame:
+def dedup_by_event_time(df: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 day") -> DataFrame:
     """First row per (keys, event time); state of passed event times is dropped."""
-    all_keys = [*keys, event_time]
-    return _watermarked(df, all_keys, event_time, delay, thin).dropDuplicates(all_keys)
+    return _watermarked(df, event_time, delay).dropDuplicates([*keys, event_time])
 
 
-def dedup_by_key(df: DataFrame, keys: Sequence[str], event_time: str,
-                 delay: str = "7 days", thin: bool = True) -> DataFrame:
+def dedup_by_key(df: DataFrame, keys: Sequence[str], event_time: str, delay: str = "7 days") -> DataFrame:
     """First row per key for all time. Late rows are dropped, but every key stays
     in state, which grows with the number of keys; run it on a RocksDB state
     store, or prefer ``dedup_within_watermark``."""
-    return _watermarked(df, keys, event_time, delay, thin).dropDuplicates(list(keys))
+    return _watermarked(df, event_time, delay).dropDuplicates(list(keys))
 
 
-def dedup_within_watermark(df: DataFrame, keys: Sequence[str], event_time: str,
-                           delay: str = "7 days", thin: bool = True) -> DataFrame:
+def dedup_within_watermark(df: DataFrame, keys: Sequence[str], event_time: str, delay: str = "7 days") -> DataFrame:
     """First row per key, with state bounded by the watermark delay: copies closer
     in event time than the delay are removed."""
-    return _watermarked(df, keys, event_time, delay, thin).dropDuplicatesWithinWatermark(list(keys))
+    return _watermarked(df, event_time, delay).dropDuplicatesWithinWatermark(list(keys))

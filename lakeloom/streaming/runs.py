@@ -13,26 +13,44 @@ from lakeloom.session import ROCKSDB_STATE, conf_scope
 from lakeloom.sources.files import stored_bytes
 
 STATE_PARTITION_BYTES = 128 << 20
+PROGRESS_KEPT = 1000
+POLL_SECONDS = 0.5
 
 
 def state_settings(spark: SparkSession, source_path: str, partitions: int | None = None) -> dict[str, str]:
-    """State store settings for a stateful run. The number of state partitions is
-    fixed for the life of a checkpoint, so it is sized from the source's bytes."""
+    """State store settings for a stateful run.
+
+    Spark fixes the number of state partitions for the life of a checkpoint. Give
+    ``partitions`` for the size the state will grow to; without it the source's
+    present bytes decide, which suits a source that is there already.
+    """
     if partitions is None:
         partitions = max(8, files_for(stored_bytes(spark, source_path), STATE_PARTITION_BYTES))
     return {
         **ROCKSDB_STATE,
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.streaming.numRecentProgressUpdates": "10000",
+        "spark.sql.streaming.numRecentProgressUpdates": str(PROGRESS_KEPT),
     }
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:
-    """Wait until all available input is processed; a failure is raised here."""
-    query.awaitTermination()
+    """Wait until all available input is processed; a failure is raised here. Late
+    rows are added up while the query runs, before Spark lets go of a batch's
+    progress; ``late_rows`` tells their number by batch."""
+    late: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(POLL_SECONDS)
+        for progress in query.recentProgress:
+            dropped = sum(operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"])
+            late[progress["batchId"]] = max(dropped, late.get(progress["batchId"], 0))
+    _LATE[str(query.runId)] = late
     return query
 
 
+_LATE: dict[str, dict[int, int]] = {}
+
+
 def drain(df: DataFrame, path: str, checkpoint: str, settings: dict[str, str] | None = None) -> StreamingQuery:
     """Append everything available to a Parquet folder, then stop."""
     with conf_scope(df.sparkSession, settings or {}):
@@ -131,9 +149,11 @@ def insert_absent_batches(path: str, keys: Sequence[str], buckets: int, newest:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped by the watermark, over the batches whose progress is kept."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+    """Rows dropped by the watermark in all batches of a finished run, every copy of a
+    deduplicated key counted. (Spark combines rows before a windowed aggregate, so
+    there it counts combined rows.)"""
+    return sum(_LATE.get(str(query.runId), {}).values())
+
+
+def late_by_batch(query: StreamingQuery) -> dict[int, int]:
+    return dict(_LATE.get(str(query.runId), {}))

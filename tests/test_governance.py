@@ -60,3 +60,22 @@ def test_persistent_function_and_view(spark, orders, folder):
     spark.sql("DROP VIEW gov_view")
     spark.sql("DROP FUNCTION gov_keep")
     spark.sql("DROP TABLE gov_table")
+
+
+@pytest.mark.parametrize("group", ["o'neil", "\\' OR 1=1 OR '", "back\\slash", "\\"])
+def test_names_with_quotes_and_backslashes_are_not_code(spark, group):
+    user = spark.sql("SELECT current_user() AS u").first()["u"]
+    spark.createDataFrame([(user, "other")], "user_name string, group_name string").createOrReplaceTempView("`odd members`")
+    test = gov.member_test(group, "odd members")
+    assert spark.sql(f"SELECT {test} AS held").first()["held"] is False
+    spark.createDataFrame([(user, group)], "user_name string, group_name string").createOrReplaceTempView("`odd members`")
+    assert spark.sql(f"SELECT {test} AS held").first()["held"] is True
+
+
+def test_views_over_odd_names(spark):
+    spark.sql("SELECT 1 AS `a b`, 2 AS `c``d`").createOrReplaceTempView("`odd source`")
+    gov.create_mask_function(spark, "odd mask", "a b", "INT")
+    gov.create_masked_view(spark, "odd view", "odd source", {"a b": "odd mask"}, "FALSE")
+    assert [tuple(row) for row in spark.table("`odd view`").collect()] == [(gov.MASK_TEXT, 2)]
+    gov.create_filtered_view(spark, "odd rows", "odd source", "FALSE", "`a b` > 1")
+    assert spark.table("`odd rows`").count() == 0

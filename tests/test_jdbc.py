@@ -53,11 +53,19 @@ def test_window_is_open_below_and_closed_above(spark):
     days = [dt.datetime(2024, 1, day) for day in (1, 2, 3)]
     rows = spark.createDataFrame([(day,) for day in days], "modified timestamp")
     table = JdbcTable("jdbc:x:y", "t", partitions=2)
-    reader = Recorder(rows)
+    reader = Recorder(spark.createDataFrame([(days[0], days[2])], "a timestamp, b timestamp"), rows)
     window = table.read_between(reader, "modified", days[0], days[1])
     assert [row[0] for row in window.collect()] == [days[1]]
-    assert reader.calls[0]["partitionColumn"] == "modified"
-    assert reader.calls[0]["lowerBound"] == "2024-01-01 00:00:00"
+    assert reader.calls[1]["partitionColumn"] == "modified"
+    assert reader.calls[1]["lowerBound"] == "2024-01-01 00:00:00"
+
+
+def test_splits_begin_where_rows_do(spark):
+    day, later = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    for low, first in ((dt.datetime(1900, 1, 1), day), (dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 15))):
+        reader = Recorder(spark.createDataFrame([(day, later)], "a timestamp, b timestamp"), spark.createDataFrame([], "modified timestamp"))
+        JdbcTable("jdbc:x:y", "t", partitions=2).read_between(reader, "modified", low, later)
+        assert reader.calls[1]["lowerBound"] == str(first) and reader.calls[1]["upperBound"] == str(later)
 
 
 class Sink(Recorder):

@@ -77,7 +77,7 @@ def test_single_column_code_is_monotonic(spark, values):
 @given(st.lists(st.text(alphabet="abcé", max_size=9), min_size=1, max_size=30))
 def test_text_code_follows_byte_order(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    coded = sorted((row["v"].encode()[:7], row[layout.Z_VALUE]) for row in layout.with_z_value(df, ["v"], bits=4).collect())
+    coded = sorted((row["v"].encode(), row[layout.Z_VALUE]) for row in layout.with_z_value(df, ["v"], bits=4).collect())
     assert [code for _, code in coded] == sorted(code for _, code in coded)
 
 
@@ -119,7 +119,40 @@ def test_cluster_adds_only_newer_files(spark, folder):
         os.utime(os.path.join(source, name), (1_600_000_000, 1_600_000_000))
     spark.range(10).selectExpr("id a", "int(id) b", "id").write.mode("append").parquet(source)
     layout.cluster_files(spark, source, target, ["a", "b"], modified_after="2021-01-01T00:00:00")
-    assert before < set(_files(target)) and spark.read.parquet(target).count() == 4096 + 10
+    assert len(set(_files(target)) - before) == 1 and before < set(_files(target))
+    assert spark.read.parquet(target).count() == 4096 + 10
+
+
+def test_long_text_and_large_integers_are_told_apart(spark):
+    for values, kind in (([f"Customer#{k:09d}" for k in range(64)], "string"), ([(1 << 60) + k for k in range(64)], "bigint")):
+        coded = layout.with_z_value(spark.createDataFrame([(v,) for v in values], f"v {kind}"), ["v"], bits=4)
+        assert coded.select(layout.Z_VALUE).distinct().count() == 16
+
+
+def test_partitions_survive_compaction_and_swap(spark, folder):
+    old, new = folder("old"), folder("new's")
+    rows = spark.range(400).selectExpr("id", "concat('g ', id % 4, char(39)) AS g", "if(id % 4 = 0, NULL, id % 2) AS h")
+    layout.write_partitioned_table(rows.repartition(8), "grid_moved", old, ["g", "h"])
+    layout.compact(spark, old, new, partition_by=["g", "h"])
+    assert rows_of(spark.read.parquet(new).select("id", "g", "h")) == rows_of(rows)
+    spark.range(100).selectExpr("1000 + id AS id", "'g 9' AS g", "7 AS h").write.mode("append").partitionBy("g", "h").parquet(new)
+    layout.swap_location(spark, "grid_moved", new)
+    assert spark.table("grid_moved").count() == 500 and spark.table("grid_moved").where("g = 'g 9'").count() == 100
+    assert spark.table("grid_moved").where("h IS NULL").count() == 100
+    spark.sql("DROP TABLE grid_moved")
+
+
+def test_spread_is_the_same_when_repeated(spark):
+    rows = spark.range(1000).select(F.lit(1).alias("k"), "id")
+    parts = [{tuple(row) for row in layout.spread_by(rows.repartition(n), 4, "k", salts=4).select(
+        "id", F.spark_partition_id()).collect()} for n in (2, 5)]
+    assert parts[0] == parts[1]
+
+
+def test_clear_cache(spark):
+    held = _grid(spark).persist()
+    layout.clear_cache(spark)
+    assert "InMemoryRelation" not in plan_of(held.select("a"))
 
 
 def test_swap_and_statistics(spark, folder):

@@ -25,8 +25,8 @@ def test_formats_round_trip(spark, folder):
 def test_append_run_counts_and_replaces(spark, folder):
     path = folder("bronze")
     rows = spark.range(5).withColumn("_run_id", F.lit("r1"))
-    assert sinks.append_run(rows, path) == 5 and sinks.append_run(rows, path) == 5
-    assert sinks.append_run(rows.withColumn("_run_id", F.lit("r2")).limit(2), path) == 2
+    assert sinks.append_run(rows, path, "r1") == 5 and sinks.append_run(rows, path, "r1") == 5
+    assert sinks.append_run(rows.withColumn("_run_id", F.lit("r2")).limit(2), path, "r2") == 2
     assert spark.read.parquet(path).count() == 7
     assert rows_of(sinks.read_run(spark, path, "r2").select("_run_id").distinct()) == [("r2",)]
 

@@ -11,7 +11,7 @@ from lakeloom.plans import medallion, unify
 from lakeloom.sources.files import file_stream, persisted_schema
 from lakeloom.streaming import dedup
 from lakeloom.streaming.runs import (
-    append_batches, drain, drain_batches, insert_absent_batches, late_rows, state_settings,
+    append_batches, drain, drain_batches, insert_absent_batches, late_by_batch, late_rows, state_settings,
 )
 from tests.conftest import rows_of
 
@@ -28,48 +28,23 @@ def _run(spark, df_schema, landing, out, state, make):
     return drain(make(stream), out, state, {"spark.sql.shuffle.partitions": "2"})
 
 
-@pytest.mark.parametrize("thin", [True, False])
-def test_event_time_dedup_across_runs(spark, folder, thin):
-    landing, out, state = folder("landing"), folder("out"), folder("state")
-    first = _events(spark, [("a", 0, 1), ("a", 0, 1), ("b", 0, 2)])
-    land(first.repartition(3), landing, "1")
-    make = lambda s: dedup.dedup_by_event_time(s, ["k"], "ts", "1 day", thin)
-    _run(spark, first.schema, landing, out, state, make)
-    land(_events(spark, [("a", 0, 3), ("c", 1, 4)]), landing, "2")
-    _run(spark, first.schema, landing, out, state, make)
-    assert [row[0] for row in rows_of(spark.read.parquet(out))] == ["a", "b", "c"]
-
-
-@pytest.mark.parametrize("thin", [True, False])
-def test_hot_key_gives_one_row_with_and_without_thinning(spark, folder, thin):
+def test_hot_key_gives_one_row(spark, folder):
     landing, out, state = folder("landing"), folder("out"), folder("state")
     rows = _events(spark, [("hot", i % 3, i) for i in range(300)] + [(f"k{i}", 0, i) for i in range(30)])
     land(rows.repartition(6), landing, "1")
-    _run(spark, rows.schema, landing, out, state, lambda s: dedup.dedup_by_key(s, ["k"], "ts", "7 days", thin))
+    _run(spark, rows.schema, landing, out, state, lambda s: dedup.dedup_by_key(s, ["k"], "ts", "7 days"))
     keys = [row["k"] for row in spark.read.parquet(out).select("k").collect()]
     assert sorted(keys) == sorted(["hot"] + [f"k{i}" for i in range(30)])
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 4), st.integers(0, 9)), min_size=1, max_size=40),
-       st.sampled_from([1, 1 << 20]))
-def test_thinning_keeps_the_latest_of_each_key(spark, rows, slice_bytes):
-    df = _events(spark, rows)
-    kept = dedup.thinned(df, ["k"], "ts", slice_bytes).collect()
-    latest = {}
-    for key, day, _ in rows:
-        latest[key] = max(latest.get(key, -1), day)
-    assert {key: DAY + dt.timedelta(days=day) for key, day in latest.items()} == {
-        row["k"]: max(other["ts"] for other in kept if other["k"] == row["k"]) for row in kept
-    }
-    assert {tuple(row) for row in kept} <= {tuple(row) for row in df.collect()}
-    exact = dedup.thinned(df, ["k", "ts"], "ts", slice_bytes).select("k", "ts").distinct().count()
-    assert exact == df.select("k", "ts").distinct().count()
-
-
-def test_hot_key_is_thinned_before_the_shuffle(spark):
-    hot = spark.range(0, 50_000, numPartitions=4).select(F.lit("x").alias("k"), F.lit(DAY).cast("timestamp").alias("ts"))
-    assert dedup.thinned(hot, ["k"], "ts").count() == 4
+def test_every_late_copy_is_counted(spark, folder):
+    landing, out, state = folder("landing"), folder("out"), folder("state")
+    schema, late = _events(spark, []).schema, {}
+    for run, rows in enumerate(([("a", 50, 1)], [("b", 51, 1)], [("late", 3, i) for i in range(10)])):
+        land(_events(spark, rows), landing, str(run))
+        query = _run(spark, schema, landing, out, state, lambda s: dedup.dedup_by_event_time(s, ["k"], "ts", "1 day"))
+        late |= {batch: count for batch, count in late_by_batch(query).items() if count}
+    assert late_rows(query) == 10 and sum(late.values()) == 10
 
 
 def test_table_as_dedup_state(spark, folder):
