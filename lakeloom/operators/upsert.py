@@ -2,15 +2,18 @@
 
 A keyed table is a folder of Parquet partitioned by ``bkt``, a hash of the key.
 An upsert rewrites only buckets that hold a matched key; rows of other buckets
-are appended as new files. Limits: one writer at a time, no snapshots for
-concurrent readers, no history. Replaying a batch after a crash changes nothing,
-because the replayed rows match themselves.
+are appended as new files. New files are first written to a staged folder, then a
+small record says that they are complete, and only then are they moved into
+place. Whoever opens the table next finishes a move that was cut short, so no row
+is lost wherever the driver stops. Limits: one writer at a time, no snapshots for
+concurrent readers, no history.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
@@ -25,6 +28,9 @@ from lakeloom.sources.files import stored_files
 
 BUCKET = "bkt"
 _INFO = "_keyed"
+_STAGED = "_staged"
+_PENDING = "_pending"
+_LAST = "_last"
 
 
 @dataclass(frozen=True)
@@ -144,8 +150,62 @@ class KeyedTable:
         return self._info()["keys"]
 
     def rows(self) -> DataFrame:
+        self.recover()
         return self._reader().parquet(self.path).drop(BUCKET)
 
+    def _hadoop(self, name: str):
+        """A path below the table and its file system."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(self._hadoop_conf())
+
+    def _record(self, name: str) -> dict | None:
+        path, files = self._hadoop(name)
+        if not files.exists(path):
+            return None
+        return json.loads(self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()["value"])
+
+    def _set_record(self, name: str, value: dict) -> None:
+        """Written aside and renamed, so that a record is there whole or not at all."""
+        aside = f"{_STAGED}-{name}-{uuid.uuid4().hex}"
+        self.spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.text(f"{self.path}/{aside}")
+        path, files = self._hadoop(name)
+        files.delete(path, True)
+        if not files.rename(self._hadoop(aside)[0], path):
+            raise OSError(f"cannot store {path}")
+
+    def recover(self) -> None:
+        """Finish a commit that was cut short; one that was not complete is dropped."""
+        pending = self._record(_PENDING)
+        if pending:
+            self._move(pending)
+
+    def _move(self, pending: dict) -> None:
+        """Move staged files into place. Each step can be repeated: a bucket that was
+        moved is no longer staged."""
+        staged, files = self._hadoop(pending["staged"])
+        replaced = set(pending["replace"])
+        for folder in files.listStatus(staged) if files.exists(staged) else []:
+            name = folder.getPath().getName()
+            if not name.startswith(f"{BUCKET}="):
+                continue
+            target = self._hadoop(name)[0]
+            if int(name.split("=")[1]) in replaced:
+                files.delete(target, True)
+                self._rename(files, folder.getPath(), target)
+                continue
+            files.mkdirs(target)
+            for part in files.listStatus(folder.getPath()):
+                self._rename(files, part.getPath(), self._hadoop(f"{name}/{part.getPath().getName()}")[0])
+        if pending["tag"] is not None:
+            self._set_record(_LAST, {"tag": pending["tag"], "metrics": pending["metrics"]})
+        files.delete(self._hadoop(_PENDING)[0], True)
+        files.delete(staged, True)
+        self.spark.catalog.refreshByPath(self.path)
+
+    def _rename(self, files, source, target) -> None:
+        if not files.rename(source, target):
+            raise OSError(f"cannot move {source} to {target}")
+
     def _reader(self) -> DataFrameReader:
         schema = StructType.fromJson(self._info()["schema"]).add(BUCKET, IntegerType())
         return self.spark.read.schema(schema).option("basePath", self.path)
@@ -177,6 +237,7 @@ class KeyedTable:
 
     def append(self, df: DataFrame) -> None:
         """Add rows without looking for their keys."""
+        self.recover()
         info = self._info()
         self._write(df.select(*self._columns()).withColumn(BUCKET, bucket_of(info["keys"], info["buckets"])), "append")
 
@@ -194,10 +255,15 @@ class KeyedTable:
             source.unpersist()
 
     def upsert(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = (),
-               only_newer: bool = False) -> UpsertMetrics:
+               only_newer: bool = False, tag: str | None = None) -> UpsertMetrics:
         """Update all columns of matched rows and insert the others. With
         ``only_newer`` a stored row gives way only to a row not older by the
-        ``newest`` columns, so that late arrivals do not undo later ones."""
+        ``newest`` columns, so that late arrivals do not undo later ones. If the last
+        upsert carried the same ``tag``, nothing is done and its metrics are returned."""
+        self.recover()
+        done = self._record(_LAST) if tag is not None else None
+        if done and done["tag"] == tag:
+            return UpsertMetrics(**done["metrics"])
         join_keys = [BUCKET, *self.keys]
         with self._incoming(df, newest, tie_breaks) as (source, per_bucket):
             if not per_bucket:
@@ -205,25 +271,20 @@ class KeyedTable:
             matched = matched_keys(self._buckets(per_bucket), source, join_keys).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 hits = {row[BUCKET]: row["count"] for row in matched.groupBy(BUCKET).count().collect()}
-                in_hit = F.col(BUCKET).isin(list(hits))
-                updated = copied = 0
-                if len(hits) < len(per_bucket):
-                    self._write(source.where(~in_hit), "append")
+                new = source.join(matched, join_keys, "left_anti") if hits else source
+                rows = new.withColumn("_matched", F.lit(None).cast("boolean"))
                 if hits:
-                    fresh = source.where(in_hit).join(matched, join_keys, "left_anti")
-                    rewritten = _updated(
-                        self._buckets(hits), source.where(in_hit), join_keys, newest if only_newer else ()
-                    ).unionByName(
-                        fresh.withColumn("_matched", F.lit(None).cast("boolean"))
-                    )
-                    updated, copied = self._rewrite(rewritten)
+                    rows = _updated(
+                        self._buckets(hits), source.where(F.col(BUCKET).isin(list(hits))), join_keys, newest if only_newer else ()
+                    ).unionByName(rows)
+                total = sum(per_bucket.values())
+                return self._stage(rows, total, total - sum(hits.values()), sorted(hits), tag)
             finally:
                 matched.unpersist()
-            rows = sum(per_bucket.values())
-            return UpsertMetrics(rows, rows - sum(hits.values()), updated, copied)
 
     def insert_if_absent(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> None:
         """Add only rows whose key is not stored yet, one per key."""
+        self.recover()
         with self._incoming(df, newest, tie_breaks) as (source, per_bucket):
             if per_bucket:
                 fresh = absent_rows(self._buckets(per_bucket), source, [BUCKET, *self.keys])
@@ -232,11 +293,13 @@ class KeyedTable:
     def compact(self, max_files: int = 8) -> int:
         """Rewrite the buckets that appends have left with more than ``max_files``
         files; returns how many there were."""
+        self.recover()
         bucket = F.regexp_extract("path", f"/{BUCKET}=([0-9]+)/", 1).cast("int").alias(BUCKET)
         files = stored_files(self.spark, self.path).groupBy(bucket).count()
         crowded = [row[BUCKET] for row in files.where(F.col("count") > max_files).collect()]
         if crowded:
-            self._write(self._buckets(crowded), "overwrite")
+            rows = self._buckets(crowded).withColumn("_matched", F.lit(False))
+            self._stage(rows, 0, 0, crowded, None)
         return len(crowded)
 
     def write(self, df: DataFrame, keys: Sequence[str], buckets: int, mode: str = "merge",
@@ -257,18 +320,23 @@ class KeyedTable:
         into several files and join small ones into one task."""
         self._save(df.hint("rebalance", BUCKET), mode, replace)
 
-    def _rewrite(self, df: DataFrame) -> tuple[int, int]:
-        """Replace whole buckets; returns updated and copied row counts. They are
-        observed after the shuffle, in the writing stage, so that a map task
-        repeated after the loss of an executor is not counted twice."""
+    def _stage(self, df: DataFrame, total: int, inserted: int, replace: list[int], tag: str | None) -> UpsertMetrics:
+        """Write rows aside, record that they are complete, move them into place.
+        Updated and copied rows are observed after the shuffle, in the writing stage,
+        so that a map task repeated after the loss of an executor is not counted twice."""
         counts = Observation()
         watched = df.hint("rebalance", BUCKET).observe(
             counts,
             F.count_if(F.col("_matched")).alias("updated"),
             F.count_if(~F.col("_matched")).alias("copied"),
         )
-        self._save(watched.drop("_matched"), "overwrite", "dynamic")
-        return counts.get["updated"], counts.get["copied"]
+        staged = f"{_STAGED}-{uuid.uuid4().hex}"
+        watched.drop("_matched").write.partitionBy(BUCKET).parquet(f"{self.path}/{staged}")
+        metrics = UpsertMetrics(total, inserted, counts.get["updated"], counts.get["copied"])
+        pending = {"staged": staged, "replace": replace, "tag": tag, "metrics": asdict(metrics)}
+        self._set_record(_PENDING, pending)
+        self._move(pending)
+        return metrics
 
     def _save(self, df: DataFrame, mode: str, replace: str) -> None:
         df.write.mode(mode).option("partitionOverwriteMode", replace).partitionBy(BUCKET).parquet(self.path)

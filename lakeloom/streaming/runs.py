@@ -113,14 +113,15 @@ def upsert_batches(path: str, keys: Sequence[str], buckets: int, metrics_path: s
                    newest: Sequence[str] = (), tie_breaks: Sequence[str] = (),
                    only_newer: bool = False) -> Callable[[DataFrame, int], None]:
     """A batch handler that upserts into a keyed table and stores the metrics of
-    each non-empty batch under its ``batch_id``. With ``only_newer`` the table
+    each non-empty batch under its ``batch_id``; a replayed batch finds its upsert
+    done and stores the same metrics. With ``only_newer`` the table
     holds the latest row per key, in whatever order rows arrive."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         table = KeyedTable(spark, path)
         if not table.exists():
             table.create(batch.limit(0), keys, buckets)
-        metrics = table.upsert(batch, newest, tie_breaks, only_newer).as_dict()
+        metrics = table.upsert(batch, newest, tie_breaks, only_newer, tag=f"batch-{batch_id}").as_dict()
         if metrics_path and metrics["source_rows"]:
             (
                 spark.createDataFrame([metrics], ", ".join(f"{name} bigint" for name in metrics))

@@ -80,22 +80,48 @@ def test_only_hit_buckets_are_rewritten(spark, folder):
     assert rows_of(table.rows().where("v = 'hit'")) == [(7, "hit", 1)]
 
 
-@pytest.mark.parametrize("lost_step", ["_write", "_rewrite"])
-def test_crash_between_steps_then_replay(spark, folder, monkeypatch, lost_step):
-    """The append of new keys and the rewrite of hit buckets are two commits; a
-    crash before either is healed by replaying the batch."""
-    table = _table(spark, folder, [(k, "a", 0) for k in range(40)], buckets=32)
-    batch = _frame(spark, [(1, "hit", 1)] + [(k, "new", 1) for k in range(500, 540)])
-    with monkeypatch.context() as patch:
-        def lose(*_, **__):
-            raise RuntimeError("driver lost")
+@pytest.mark.parametrize("lost_at", ["write", "record", "first move", "between delete and move", "after moves"])
+@pytest.mark.parametrize("replay", [True, False])
+def test_driver_lost_within_a_commit(spark, folder, monkeypatch, lost_at, replay):
+    """Before the record the old rows stand; after it the new ones do, as soon as the
+    table is opened. Replaying the batch gives the same rows and the same metrics."""
+    old = [(k, "a", 0) for k in range(40)]
+    table = _table(spark, folder, old, buckets=16)
+    batch = _frame(spark, [(1, "hit", 1), (2, "hit", 1)] + [(k, "new", 1) for k in range(500, 520)])
+    new = [row for row in old if row[0] not in (1, 2)] + [(1, "hit", 1), (2, "hit", 1)] + [(k, "new", 1) for k in range(500, 520)]
+    steps = []
+
+    def lose(*_, **__):
+        raise RuntimeError("driver lost")
+
+    def lose_later(original, after):
+        def step(*args):
+            steps.append(args)
+            if len(steps) > after:
+                lose()
+            return original(*args)
+        return step
 
-        patch.setattr(table, lost_step, lose)
+    with monkeypatch.context() as patch:
+        if lost_at == "write":
+            patch.setattr(table, "_set_record", lose)
+        elif lost_at == "record":
+            patch.setattr(table, "_move", lose)
+        elif lost_at == "after moves":
+            original = table._set_record
+            patch.setattr(table, "_set_record", lose_later(original, 1))
+        else:
+            patch.setattr(table, "_rename", lose_later(table._rename, 0 if lost_at == "first move" else 1))
         with pytest.raises(RuntimeError, match="driver lost"):
-            table.upsert(batch)
-    table.upsert(batch)
-    expected = [(k, "a", 0) for k in range(40) if k != 1] + [(1, "hit", 1)] + [(k, "new", 1) for k in range(500, 540)]
-    assert rows_of(table.rows()) == sorted(expected, key=repr)
+            table.upsert(batch, tag="b7")
+    reopened = KeyedTable(spark, table.path)
+    if replay:
+        metrics = reopened.upsert(batch, tag="b7")
+        assert (metrics.inserted, metrics.updated, metrics.source_rows) == (20, 2, 22)
+        assert reopened.upsert(batch, tag="b7") == metrics
+    expected = new if replay or lost_at != "write" else old
+    assert rows_of(reopened.rows()) == sorted(expected, key=repr)
+    assert rows_of(KeyedTable(spark, table.path).rows()) == sorted(expected, key=repr)
 
 
 def test_compact_rewrites_only_crowded_buckets(spark, folder):
