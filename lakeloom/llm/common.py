@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from lakeloom.session import scratch_path
 
 #: Text handled at once inside a task; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -91,11 +91,18 @@ def powers(count: int, base: np.uint64 = _BASE) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def hash_spans(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, the same wherever the span stands."""
+def span_table(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``hash_spans`` needs of some bytes; compute it once for several calls."""
     sums = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum(_LETTERS[flat] * powers(len(flat)), out=sums[1:])
-    back = powers(len(flat) + 1, _INVERSE)
+    np.multiply(_LETTERS[flat], powers(len(flat)), out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
+    return sums, powers(len(flat) + 1, _INVERSE)
+
+
+def hash_spans(flat: np.ndarray, start: np.ndarray, end: np.ndarray,
+               table: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, the same wherever the span stands."""
+    sums, back = table or span_table(flat)
     return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakeloom.llm.common import find_words, hash_spans, mix, require, slices, text_bytes
+from lakeloom.llm.common import find_words, hash_spans, mix, require, slices, span_table, text_bytes
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_distinct")
 
@@ -46,7 +46,8 @@ def count_texts(texts: pa.Array) -> dict[str, np.ndarray]:
         return running
 
     points = sums((flat & 0xC0) != 0x80)
-    word = hash_spans(flat, start, end)
+    table = span_table(flat)
+    word = hash_spans(flat, start, end, table)
     n_words = np.bincount(doc, minlength=count)
 
     whole = np.flatnonzero(doc[:-2] == doc[2:]) if len(doc) > 2 else np.zeros(0, np.int64)
@@ -65,7 +66,7 @@ def count_texts(texts: pa.Array) -> dict[str, np.ndarray]:
     has = np.searchsorted(start, line_end) > before
     line_start, line_end = line_start[has], line_end[has]
     line_doc = np.searchsorted(bounds, line_start, "right") - 1
-    later, _ = _repeats(line_doc, hash_spans(flat, line_start, line_end))
+    later, _ = _repeats(line_doc, hash_spans(flat, line_start, line_end, table))
     again, _ = _repeats(doc, word)
 
     symbols, upper = sums(_SYMBOL[flat]), sums(_UPPER[flat])

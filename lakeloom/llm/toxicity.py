@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeloom.llm.common import hash_spans, list_column, lower_ascii, require, slices, text_bytes
+from lakeloom.llm.common import hash_spans, list_column, lower_ascii, require, slices, span_table, text_bytes
 
 #: Hashed features; a power of two.
 FEATURES = 1 << 18
@@ -46,6 +46,7 @@ class Bag(NamedTuple):
     word: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    table: tuple[np.ndarray, np.ndarray]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -70,31 +71,33 @@ def bag_of(flat: np.ndarray, bounds: np.ndarray) -> Bag:
     sentence = np.cumsum(new) - 1
     heads = np.flatnonzero(new)
     tails = np.append(heads[1:], len(first))
-    _, one, word = np.unique(hash_spans(flat, first, last), return_index=True, return_inverse=True)
+    table = span_table(flat)
+    _, one, word = np.unique(hash_spans(flat, first, last, table), return_index=True, return_inverse=True)
     pairs = np.unique(sentence * max(1, len(one)) + word)
     return Bag(text[heads], first[heads], last[tails - 1] if len(heads) else heads,
-               pairs // max(1, len(one)), pairs % max(1, len(one)), first[one], last[one])
+               pairs // max(1, len(one)), pairs % max(1, len(one)), first[one], last[one], table)
 
 
-def word_features(flat: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_features(flat: np.ndarray, bag: Bag) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of word and hashed feature: the word, its prefixes, and the runs of
     ``GRAM`` bytes within it."""
+    first, last, table = bag.first, bag.last, bag.table
     length = last - first
-    words, codes = [np.arange(len(first))], [hash_spans(flat, first, last)]
+    words, codes = [np.arange(len(first))], [hash_spans(flat, first, last, table)]
     for size in PREFIXES:
         has = np.flatnonzero(length > size)
         words.append(has)
-        codes.append(hash_spans(flat, first[has], first[has] + size) + np.uint64(size))
+        codes.append(hash_spans(flat, first[has], first[has] + size, table) + np.uint64(size))
     count = np.maximum(length - GRAM + 1, 0)
     word = np.repeat(np.arange(len(first)), count)
     at = first[word] + np.arange(len(word)) - np.repeat(np.cumsum(count) - count, count)
     words.append(word)
-    codes.append(hash_spans(flat, at, at + GRAM) + np.uint64(99))
+    codes.append(hash_spans(flat, at, at + GRAM, table) + np.uint64(99))
     return np.concatenate(words), (np.concatenate(codes) % np.uint64(FEATURES)).astype(np.int64)
 
 
 def _sentence_scores(flat: np.ndarray, bag: Bag, model: Model) -> np.ndarray:
-    word, code = word_features(flat, bag.first, bag.last)
+    word, code = word_features(flat, bag)
     score = np.bincount(word, model.weights[code], minlength=len(bag.first))
     return model.bias + np.bincount(bag.sentence, score[bag.word], minlength=len(bag.text))
 
@@ -114,7 +117,7 @@ def fit(texts: list[str | None], labels: np.ndarray, steps: int = 80, rate: floa
     flat, bounds = text_bytes(pa.array(texts, pa.string()))
     flat = lower_ascii(flat)
     bag = bag_of(flat, bounds)
-    word, code = word_features(flat, bag.first, bag.last)
+    word, code = word_features(flat, bag)
     order = np.argsort(word, kind="stable")
     word, code = word[order], code[order]
     held = np.bincount(word, minlength=len(bag.first))
@@ -168,7 +171,7 @@ def _text_counts(text: np.ndarray, word: np.ndarray, held: np.ndarray, begins: n
     return counts
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = 2000, longest: int = 20_000) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1500, longest: int = 10_000) -> Model:
     """Fit on about ``per_class`` labelled documents of each class, chosen by a hash
     of doc_id among those not held out and of at most ``longest`` characters. These
     two parameters bound what reaches the driver. Labels of repeated rows must
