@@ -3,8 +3,8 @@
 Two groups: registered queries over the tables in $BENCH_SF_DIR, and the
 published demo queries (names start with ``demo_``) over computed tables of the
 published sizes, 10 and 20 million rows. Every run is a full execution into the
-no-op sink. Times are the median of warm runs, except jobs that write tables,
-which run once.
+no-op sink, after one to warm up. Times are the median of three runs, for jobs that
+write tables one run; setting up the demo tables is timed apart.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import sys
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeloom.operators import layout
 from lakeloom.operators.aggregates import filtered_sum, grouped_sums, star_join_sums
@@ -24,6 +24,12 @@ from lakeloom.queries import REGISTRY
 from lakeloom.session import ADAPTIVE_OFF, ADAPTIVE_ON, build_session, conf_scope, scratch_path
 from lakeloom.sources import ranges
 
+# Labels, day counts and key counts of the published demo tables.
+REGIONS = ("NA", "EMEA", "APAC", "LATAM", "ANZ", "INDIA")
+CATEGORIES = ("Electronics", "Apparel", "Grocery", "Home", "Sports", "Toys")
+TIERS = ("Bronze", "Silver", "Gold", "Platinum")
+CUSTOMERS, PRODUCTS, DAYS, WIDE_REGIONS, WIDE_CHANNELS = 500_000, 5_000, 730, 12, 30
+
 READS = (
     "join_star_agg", "agg_wide", "agg_point_range", "agg_filtered_sum", "agg_approx_distinct", "view_topk",
     "view_avg_sum", "dedup_latest", "event_decode", "fn_event_id", "expect_metrics", "dq_report", "dq_duplicate_keys",
@@ -35,6 +41,53 @@ JOBS = (
 )
 
 
+def draw(count: int, salt: int) -> Column:
+    """A repeatable whole number below ``count`` from the row's id."""
+    return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(count))
+
+
+def label(names: tuple[str, ...], salt: int) -> Column:
+    return F.get(F.array(*map(F.lit, names)), draw(len(names), salt).cast("int"))
+
+
+def day(start: str, salt: int, count: int = DAYS) -> Column:
+    return F.date_add(F.lit(start).cast("date"), draw(count, salt).cast("int"))
+
+
+def money(salt: int) -> Column:
+    return draw(50_000, salt) / 100
+
+
+def regional_table(ids: DataFrame) -> DataFrame:
+    rows = ids.select("id", label(REGIONS[:4], 2).alias("region"), label(CATEGORIES[:4], 3).alias("product_category"),
+                      day("2024-01-01", 4, 365).alias("order_date"), money(5).alias("revenue"))
+    return rows.withColumn("order_month", F.month("order_date"))
+
+
+def fact_table(ids: DataFrame, customers: int) -> DataFrame:
+    return ids.select("id", draw(customers, 6).alias("customer_id"), label(REGIONS[:4], 7).alias("region"),
+                      label(CATEGORIES, 8).alias("product_category"), day("2025-01-01", 9, 365).alias("event_date"),
+                      money(10).alias("amount"))
+
+
+def dimension_table(ids: DataFrame) -> DataFrame:
+    wide = [F.sha2(F.concat_ws("-", "id", F.lit(k)), 256).alias(f"note_{k}") for k in range(3)]
+    return ids.select(F.col("id").alias("customer_id"), label(TIERS, 11).alias("customer_tier"), *wide)
+
+
+def cached_table(ids: DataFrame) -> DataFrame:
+    return ids.select(F.col("id").alias("sale_id"), label(REGIONS, 12).alias("region"),
+                      label(CATEGORIES, 13).alias("product_category"), money(14).alias("amount"),
+                      day("2022-01-01", 15).alias("txn_date"))
+
+
+def wide_table(ids: DataFrame) -> DataFrame:
+    return ids.select(
+        F.col("id").alias("sale_id"), draw(CUSTOMERS, 16).alias("customer_id"), draw(PRODUCTS, 17).alias("product_id"),
+        day("2023-01-01", 18).alias("sale_date"), (draw(10, 19) + 1).alias("quantity"), money(20).alias("unit_price"),
+        draw(WIDE_REGIONS, 21).alias("region_id"), draw(WIDE_CHANNELS, 22).alias("channel_id"))
+
+
 def median_seconds(make: Callable[[], DataFrame], runs: int = 3, warm: bool = True) -> float:
     if warm:
         layout.timed(make, runs=1)
@@ -45,8 +98,8 @@ def sweep(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     seconds = {}
     for name in READS:
         seconds[name] = median_seconds(lambda: REGISTRY[name].run(spark, sf_dir))
-    for name in JOBS:
-        seconds[name] = round(layout.timed(lambda: REGISTRY[name].run(spark, sf_dir), runs=1)[0], 3)
+    for name in JOBS:  # once to warm up, as for reads; a job writes below a folder of its own each time
+        seconds[name] = median_seconds(lambda: REGISTRY[name].run(spark, sf_dir), runs=1)
     return seconds
 
 
@@ -127,23 +180,23 @@ def demo(spark: SparkSession, rows: int) -> tuple[dict[str, float], dict[str, fl
         spark.read.parquet(flat), "transactions_daily", path, ["txn_date"]))
     seconds["demo_week_sum_partitioned"] = median_seconds(lambda: week_sum(spark.table("transactions_daily")))
 
-    wide = prepare("wide_sales", lambda path: ranges.wide_sales(ids(rows)).write.parquet(path))
+    wide = prepare("wide_sales", lambda path: wide_table(ids(rows)).write.parquet(path))
     seconds["demo_wide_aggregate"] = median_seconds(lambda: wide_aggregate(spark, wide))
 
-    regional = prepare("regional", lambda path: ranges.regional_revenue(ids(rows)).write.parquet(path))
+    regional = prepare("regional", lambda path: regional_table(ids(rows)).write.parquet(path))
     clustered = prepare("regional_clustered", lambda path: layout.cluster(
         spark.read.parquet(regional), path, ["region", "product_category", "order_month"], 16, bits=4))
     seconds["demo_regional_sum_clustered"] = median_seconds(lambda: clustered_sum(spark, clustered))
 
-    fact = prepare("star_fact", lambda path: ranges.star_fact(ids(rows), rows // 5).write.parquet(path))
-    dimension = prepare("star_dimension", lambda path: ranges.star_dimension(ids(rows // 5)).write.parquet(path))
+    fact = prepare("star_fact", lambda path: fact_table(ids(rows), rows // 5).write.parquet(path))
+    dimension = prepare("star_dimension", lambda path: dimension_table(ids(rows // 5)).write.parquet(path))
     bad_shuffle = {"spark.sql.shuffle.partitions": "2000"}
     with conf_scope(spark, {**bad_shuffle, **ADAPTIVE_OFF}):
         seconds["demo_star_adaptive_off"] = median_seconds(lambda: star(spark, fact, dimension), runs=1, warm=False)
     with conf_scope(spark, {**bad_shuffle, **ADAPTIVE_ON}):
         seconds["demo_star_adaptive_on"] = median_seconds(lambda: star(spark, fact, dimension))
 
-    sales = prepare("cached_sales", lambda path: ranges.cached_sales(ids(rows)).write.parquet(path))
+    sales = prepare("cached_sales", lambda path: cached_table(ids(rows)).write.parquet(path))
     seconds["demo_report_uncached"] = median_seconds(lambda: cached_report(spark.read.parquet(sales)))
     with layout.cached(spark.read.parquet(sales)) as held:
         seconds["demo_report_cached"] = median_seconds(lambda: cached_report(held))

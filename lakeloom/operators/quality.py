@@ -192,6 +192,22 @@ def gate_counts(lines: DataFrame, fail_on_warn: bool = False) -> DataFrame:
     return counted.withColumn("passed", ~breached)
 
 
+def stored_report(lines: DataFrame, path: str) -> DataFrame:
+    """The report, written once. Read and gate on the result: the checks' scans and
+    shuffles are not run again."""
+    lines.coalesce(1).write.mode("overwrite").parquet(path)
+    return lines.sparkSession.read.schema(lines.schema).parquet(path)
+
+
+def failing_samples(checks: TableChecks, limit: int = 20) -> DataFrame:
+    """Up to ``limit`` offending rows of each rule, as (check, row)."""
+    samples = [
+        bad_rows(checks.rows, rule.broken, limit).select(F.lit(rule.name).alias("check"), F.to_json(F.struct("*")).alias("row"))
+        for rule in checks.rules
+    ]
+    return reduce(DataFrame.unionByName, samples)
+
+
 def enforce_gate(lines: DataFrame, fail_on_warn: bool = False, run_id: str | None = None) -> None:
     """Raise when any check failed, or warned if warnings count."""
     outcome = gate_counts(lines, fail_on_warn).first()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lakeloom.operators import quality as dq
@@ -193,7 +195,19 @@ SELECT count(*) FILTER (status = 'FAIL') AS fail_count, count(*) FILTER (status
 FROM ({REPORT_SQL})
 """)
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dq.gate_counts(_full_report(spark, sf_dir))
+    """The gate over the stored report, which runs no check again."""
+    return dq.gate_counts(dq.stored_report(_full_report(spark, sf_dir), scratch_path(spark, "report")))
+
+
+@register(f"WITH {_SOURCES_SQL} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS \"check\", least(count(*), 20) AS sampled FROM {alias} WHERE {broken} HAVING count(*) > 0"
+    for alias, rules in (("detail", DETAIL_RULES), ("header", HEADER_RULES), ("history", HISTORY_RULES))
+    for name, broken, _ in rules
+))
+def dq_failing_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many offending rows of each rule the sample shows, 20 at most."""
+    samples = reduce(DataFrame.unionByName, [dq.failing_samples(checks) for checks in _tables(spark, sf_dir)])
+    return samples.groupBy("check").agg(F.count("*").alias("sampled"))
 
 
 def _only(lines: DataFrame, *checks: str) -> DataFrame:

@@ -99,11 +99,11 @@ SELECT id % 200000 AS customer_id, DATE '2023-01-01' + CAST(id % 365 AS INTEGER)
        CAST(({_draw('id', 5, 1)}) + 1 AS INTEGER) AS units,
        CASE id % 4 WHEN 0 THEN '{CHANNELS[0]}' WHEN 1 THEN '{CHANNELS[1]}'
                    WHEN 2 THEN '{CHANNELS[2]}' ELSE '{CHANNELS[3]}' END AS channel
-FROM range(0, (SELECT count(*) FROM lineitem)) AS r(id)
+FROM (SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem)
 """)
 def src_range_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A computed sales table with as many rows as lineitem."""
-    return sales_events(spark.range(fixture(spark, sf_dir, "lineitem").count()))
+    """A computed sales table, a row for each line's key."""
+    return sales_events(fixture(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")))
 
 
 @register("""

@@ -16,10 +16,6 @@ MIX_MODULUS = 2147483648
 # Labels of the demo tables.
 CHANNELS = ("web", "store", "partner", "mobile")
 REGIONS = ("NA", "EMEA", "APAC", "LATAM")
-STAR_CATEGORIES = ("A", "B", "C", "D", "E", "F")
-RETAIL_CATEGORIES = ("Electronics", "Apparel", "Grocery", "Home")
-CACHED_REGIONS = ("NA", "EMEA", "APAC", "LATAM", "ANZ", "INDIA")
-CACHED_CATEGORIES = ("electronics", "apparel", "grocery", "beauty", "sports", "home", "toys", "automotive")
 TIERS = ("Bronze", "Silver", "Gold", "Platinum")
 
 
@@ -61,18 +57,6 @@ def sales_events(ids: DataFrame) -> DataFrame:
     )
 
 
-def regional_revenue(ids: DataFrame) -> DataFrame:
-    key = F.col("id")
-    rows = ids.select(
-        key,
-        pick(REGIONS, mixed(key, len(REGIONS), salt=2)).alias("region"),
-        pick(RETAIL_CATEGORIES, mixed(key, len(RETAIL_CATEGORIES), salt=3)).alias("product_category"),
-        day_after("2024-01-01", mixed(key, 365, salt=4)).alias("order_date"),
-        (mixed(key, 50_000, salt=5) / F.lit(100.0)).alias("revenue"),
-    )
-    return rows.withColumn("order_month", F.month("order_date"))
-
-
 def transactions(ids: DataFrame) -> DataFrame:
     key = F.col("id")
     return ids.select(
@@ -82,55 +66,3 @@ def transactions(ids: DataFrame) -> DataFrame:
         F.pmod(key, F.lit(5_000)).alias("product_id"),
         (mixed(key, 50_000) / F.lit(100.0)).cast("decimal(10,2)").alias("amount"),
     )
-
-
-def star_fact(ids: DataFrame, customers: int) -> DataFrame:
-    key = F.col("id")
-    return ids.select(
-        key,
-        F.pmod(key * 17, F.lit(customers)).cast("int").alias("customer_id"),
-        pick(REGIONS, key).alias("region"),
-        pick(STAR_CATEGORIES, key).alias("product_category"),
-        day_after("2025-01-01", F.pmod(key, F.lit(365))).alias("event_date"),
-        (F.pmod(key * 13, F.lit(10_000)) / F.lit(100.0)).alias("amount"),
-    )
-
-
-def star_dimension(ids: DataFrame) -> DataFrame:
-    key = F.col("id")
-    return ids.select(
-        key.alias("customer_id"),
-        pick(TIERS, key).alias("customer_tier"),
-        day_after("2018-01-01", F.pmod(key, F.lit(2_000))).alias("signup_date"),
-        (F.pmod(key, F.lit(2)) == 0).alias("is_active"),
-        F.sha2(key.cast("string"), 256).alias("attr_01"),
-        (key * 3).cast("int").alias("attr_02"),
-        (key * 7).cast("int").alias("attr_03"),
-        F.pmod(key, F.lit(1_000)).cast("int").alias("attr_04"),
-        pick(("X", "Y", "Z"), key).alias("attr_05"),
-    )
-
-
-def cached_sales(ids: DataFrame) -> DataFrame:
-    key = F.col("id")
-    return ids.select(
-        key.alias("sale_id"),
-        pick(CACHED_REGIONS, key).alias("region"),
-        pick(CACHED_CATEGORIES, key).alias("product_category"),
-        (10 + key % 500 + mixed(key, 10_000) / F.lit(100.0)).cast("double").alias("amount"),
-        day_after("2022-01-01", key % 730).alias("txn_date"),
-    )
-
-
-def wide_sales(ids: DataFrame) -> DataFrame:
-    key = F.col("id")
-    return ids.select(
-        key.alias("sale_id"),
-        (key % 500_000).alias("customer_id"),
-        (key % 5_000).cast("int").alias("product_id"),
-        day_after("2023-01-01", key % 730).alias("sale_date"),
-        (key % 10 + 1).cast("int").alias("quantity"),
-        ((key % 200) * F.lit(1.17)).cast("double").alias("unit_price"),
-        (key % 12).cast("int").alias("region_id"),
-        (key % 30).cast("int").alias("channel_id"),
-    )
