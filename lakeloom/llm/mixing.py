@@ -114,7 +114,7 @@ def _tables(spark: SparkSession, plan: list[Phase]) -> tuple[DataFrame, DataFram
 
 
 def mix(docs: DataFrame, weights: Mapping | None = None, block: int = 8, by: str = "source", seed: int = 7,
-        tempering: float = 0.7, most_sources: int = 512, cell: int = 50_000) -> DataFrame:
+        tempering: float = 0.7, most_sources: int = 512, cell: int = 2_000) -> DataFrame:
     """``docs`` with source block, slot, release, deadline and ``position`` added; all rows.
 
     ``position`` counts from 0 without gaps within a source's block; sorting by it
