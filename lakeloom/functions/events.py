@@ -26,21 +26,20 @@ EVENT_COLUMNS = {
 }
 EVENT_ID = "eventId"
 
+# The recipe of the event identity, which stored identities share.
+ID_SEPARATOR = "||"
+BUS_MARK, BATCH_MARK, MISSING_PART = "eh", "batch", "\u0000"
+BUS_PARTS, NATURAL_PARTS = ("partitionId", "offset"), ("deviceId", "timestamp", "sequence")
+
 
 def decode_envelope(df: DataFrame, moment: datetime | None = None) -> DataFrame:
     """Bus envelope (body, enqueuedTime, offset, sequenceNumber, partition) to the
     common event columns. A body that is not valid JSON yields null payload
     fields; the envelope columns survive, so no event is lost."""
-    parsed = df.withColumn("payload", F.from_json(F.col("body").cast("string"), PAYLOAD_SCHEMA))
-    return parsed.select(
-        "payload.timestamp", "payload.sequence", "payload.deviceId",
-        "payload.temperatureC", "payload.status",
-        F.col("enqueuedTime").cast("timestamp").alias("enqueuedTime"),
-        F.col("offset").cast("string").alias("offset"),
-        F.col("sequenceNumber").cast("bigint").alias("sequenceNumber"),
-        F.col("partition").cast("string").alias("partitionId"),
-        load_time(moment).alias("etlLoadTs"),
-    )
+    payload = F.from_json(F.col("body").cast("string"), PAYLOAD_SCHEMA)
+    parsed = df.select(
+        "enqueuedTime", "offset", "sequenceNumber", F.col("partition").alias("partitionId"), payload.alias("payload"))
+    return conform(parsed.select("*", "payload.*"), EVENT_COLUMNS, defaults={"etlLoadTs": load_time(moment)})
 
 
 def conform_events(df: DataFrame, moment: datetime | None = None) -> DataFrame:
@@ -63,15 +62,18 @@ def event_id(strict: bool = False) -> Column:
     Strict mode keeps a placeholder for every missing part, so rows that differ
     only in which part is missing stay apart, and is null when all are missing.
     """
-    bus = [F.col("partitionId"), F.col("offset")]
-    natural = [F.col("deviceId"), F.col("timestamp"), F.col("sequence").cast("string")]
+    def digest(mark: str, parts: list[Column]) -> Column:
+        return F.sha2(F.concat_ws(ID_SEPARATOR, F.lit(mark), *parts), 256)
+
+    bus = [F.col(name) for name in BUS_PARTS]
+    natural = [F.col(name).cast("string") for name in NATURAL_PARTS]
     if strict:
-        parts = [F.coalesce(part, F.lit("\u0000")) for part in natural]
-        fallback = F.when(F.coalesce(*natural).isNotNull(), F.sha2(F.concat_ws("||", F.lit("batch"), *parts), 256))
+        filled = [F.coalesce(part, F.lit(MISSING_PART)) for part in natural]
+        fallback = F.when(F.coalesce(*natural).isNotNull(), digest(BATCH_MARK, filled))
     else:
-        fallback = F.sha2(F.concat_ws("||", F.lit("batch"), *natural), 256)
+        fallback = digest(BATCH_MARK, natural)
     known_position = bus[0].isNotNull() & bus[1].isNotNull()
-    return F.when(known_position, F.sha2(F.concat_ws("||", F.lit("eh"), *bus), 256)).otherwise(fallback)
+    return F.when(known_position, digest(BUS_MARK, bus)).otherwise(fallback)
 
 
 def with_event_id(df: DataFrame, strict: bool = False) -> DataFrame:

@@ -14,6 +14,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Fixed values, here and below: statuses, names of the checks and their detail texts.
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 
 REPORT_SCHEMA = "table string, check string, status string, metric bigint, details string"

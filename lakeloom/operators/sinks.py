@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lakeloom.sources.files import FILE_FORMATS
 
+_SCHEMAS = "_schemas"
 
 # Text forms that keep microseconds.
 TEXT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -40,12 +44,32 @@ def land_dated(df: DataFrame, base: str, file_date: str) -> str:
 
 
 def append_evolving(df: DataFrame, path: str) -> None:
-    """Append rows that may carry new columns; ``read_evolving`` merges schemas."""
+    """Append rows that may carry new columns. The merged schema is kept beside the
+    rows, before they are added, so a reader opens no footers to find it."""
+    known = _evolved_schema(df.sparkSession, path)
+    fields = {field.name: field for field in known.fields} if known else {}
+    for field in df.schema.fields:
+        held = fields.setdefault(field.name, StructField(field.name, field.dataType))
+        if held.dataType != field.dataType:
+            raise ValueError(f"column {field.name} is stored as {held.dataType.simpleString()}")
+    if known is None or len(fields) > len(known.fields):
+        text = StructType(list(fields.values())).json()
+        df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(f"{path}/{_SCHEMAS}")
     df.write.mode("append").parquet(path)
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    schema = _evolved_schema(spark, path)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def _evolved_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The widest schema stored; each one holds the columns of those before."""
+    try:
+        rows = spark.read.text(f"{path}/{_SCHEMAS}", wholetext=True).collect()
+    except AnalysisException:
+        return None
+    return max((StructType.fromJson(json.loads(row["value"])) for row in rows), key=len, default=None)
 
 
 def append_run(df: DataFrame, path: str, run_id: str, run_column: str = "_run_id") -> int:

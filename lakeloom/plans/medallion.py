@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeloom.functions.events import event_time
+from lakeloom.functions.events import EVENT_COLUMNS, event_time
 from lakeloom.functions.shaping import normalized, with_file_lineage
 from lakeloom.operators.aggregates import create_view, top_counts
 from lakeloom.operators.dedup import latest_per_key
@@ -66,8 +66,5 @@ def silver_events(bronze: DataFrame, rules: Sequence[Expectation] = DEVICE_EVENT
         ["timestamp", "temperatureC", "status", "sequenceNumber", "offset"],
     )
     stamp = F.current_timestamp() if moment is None else F.lit(moment).cast("timestamp")
-    return latest.select(
-        "timestamp", "event_ts", "sequence", "deviceId", "temperatureC", "status",
-        "enqueuedTime", "offset", "sequenceNumber", "partitionId", "etlLoadTs",
-        stamp.alias("silver_timestamp"),
-    )
+    first, *others = EVENT_COLUMNS
+    return latest.select(first, "event_ts", *others, stamp.alias("silver_timestamp"))
