@@ -138,7 +138,10 @@ def ctl_watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("high", "fresh")
 
 
-_UNIFIED_COLUMNS = '"eventId", "timestamp", sequence, "deviceId", "temperatureC", status, "offset", "partitionId"'
+_UNIFIED_COLUMNS = (
+    '"eventId", "timestamp", sequence, "deviceId", "temperatureC", status, "enqueuedTime", "offset", "sequenceNumber", '
+    '"partitionId", "etlLoadTs"'
+)
 
 
 def _identified(inner: str) -> str:
@@ -153,7 +156,7 @@ def unify_batch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, buckets = batch_files(spark, sf_dir), buckets_for(spark, sf_dir, "events")
     load_batch(spark, rows.where("timestamp < '2024-01-20'"), path, buckets, moment=LOAD_TIME)
     load_batch(spark, rows.where("timestamp >= '2024-01-10'"), path, buckets, moment=LOAD_TIME)
-    return KeyedTable(spark, path).rows().drop("enqueuedTime", "sequenceNumber", "etlLoadTs")
+    return KeyedTable(spark, path).rows()
 
 
 @register(f"""
@@ -167,7 +170,7 @@ def unify_batch_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, buckets = batch_files(spark, sf_dir), buckets_for(spark, sf_dir, "events")
     load_batch(spark, rows.where("timestamp < '2024-01-20'"), path, buckets, moment=LOAD_TIME)
     load_batch(spark, rows.where("timestamp >= '2024-01-10'"), path, buckets, mode="append", moment=LOAD_TIME)
-    return KeyedTable(spark, path).rows().drop("enqueuedTime", "sequenceNumber", "etlLoadTs")
+    return KeyedTable(spark, path).rows()
 
 
 def _streamed(spark: SparkSession, sf_dir: str, path: str, metrics: str | None = None) -> None:
@@ -211,7 +214,10 @@ def unify_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"""
 SELECT {_UNIFIED_COLUMNS} FROM ({_identified(BATCH_FILES_SQL)})
-UNION ALL SELECT {_UNIFIED_COLUMNS} FROM ({_identified(DECODED_SQL)})
+UNION ALL SELECT {_UNIFIED_COLUMNS} FROM (
+  SELECT * REPLACE (CASE WHEN "enqueuedTime" >= TIMESTAMP '2024-01-10'
+                         THEN "enqueuedTime" + INTERVAL 1 HOUR ELSE "enqueuedTime" END AS "enqueuedTime")
+  FROM ({_identified(DECODED_SQL)}))
 """)
 def unify_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both routes into one table; without a bus position in the batch files the
@@ -219,4 +225,4 @@ def unify_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "unified")
     load_batch(spark, batch_files(spark, sf_dir), path, buckets_for(spark, sf_dir, "events"), moment=LOAD_TIME)
     _streamed(spark, sf_dir, path)
-    return KeyedTable(spark, path).rows().drop("enqueuedTime", "sequenceNumber", "etlLoadTs")
+    return KeyedTable(spark, path).rows()

@@ -43,17 +43,14 @@ def src_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).drop("source_file")
 
 
-@register("""
-SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
-""")
+@register("SELECT * FROM orders")
 def src_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows appended to a table, read as a stream."""
     path, out, state = (scratch_path(spark, part) for part in ("bronze", "silver", "state"))
     table = f"bronze_{path.rsplit('-', 1)[1]}"
     sinks.register_table(fixture(spark, sf_dir, "orders"), table, path)
     try:
-        rows = spark.readStream.table(table).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-        drain(rows, out, state)
+        drain(spark.readStream.table(table), out, state)
     finally:
         sinks.drop_table(spark, table)
     return spark.read.parquet(out)
@@ -224,18 +221,16 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> IncrementalLoader:
 
 @register("""
 WITH first_run AS (SELECT max(o_orderdate) AS high FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')
-SELECT o_orderkey, o_orderdate, 'sales.orders' AS _source_table_fqn, 'run-1' AS _run_id
+SELECT *, TIMESTAMP '2024-02-01' AS _ingest_ts, 'sales.orders' AS _source_table_fqn, 'run-1' AS _run_id
 FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'
 UNION ALL
-SELECT o_orderkey, o_orderdate, 'sales.orders', 'run-2'
+SELECT orders.*, TIMESTAMP '2024-02-02', 'sales.orders', 'run-2'
 FROM orders, first_run WHERE o_orderdate > high - INTERVAL 14400 MINUTE
 """)
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows after two incremental runs."""
     loader = _two_loads(spark, sf_dir)
-    return spark.read.parquet(loader.bronze("bronze", "orders")).select(
-        "o_orderkey", "o_orderdate", "_source_table_fqn", "_run_id"
-    )
+    return spark.read.parquet(loader.bronze("bronze", "orders"))
 
 
 @register("""
