@@ -1,8 +1,6 @@
 import datetime as dt
 
 import pytest
-from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from lakeloom.functions.events import EVENT_ID
 from lakeloom.operators.sinks import land
