@@ -7,9 +7,11 @@ texts too far away in Mahalanobis distance are rejected.
 The estimate starts from medians and quartile spans and takes concentration
 steps: the nearest three quarters of a group give the next centre and scatter.
 Ranks come from histograms of the distance, so a step is two grouped sums over
-all rows, whatever the size of a group. Scatters get a fixed floor, as counts that
-are nearly always zero have none. Groups with few rows use their language's
-estimate, and small languages that of all rows.
+all rows, whatever the size of a group. Counts that are nearly always zero have
+no spread of their own, so each is blurred below one whole count by a hash of the
+text's counts, and shares are compared by their logarithms: the scatter of every
+axis then comes from the group. Groups with few rows use their language's estimate,
+and small languages that of all rows.
 """
 
 from __future__ import annotations
@@ -18,14 +20,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeloom.llm.common import require, stored
 from lakeloom.llm.text_stats import COUNTS, text_stats
 
 AXES = ("word_length", "symbols", "dup_lines", "repeats", "capitals")
-#: Spread that each axis has at least: a tenth in word length, and shares' roots.
-FLOORS = (0.10, 0.12, 0.15, 0.12, 0.08)
+#: Spread added to each axis against singular matrices, as where all texts are equal;
+#: core spreads on sf0.1 are 0.03 (word length), 0.2 (capitals) and about 1.
+FLOORS = (0.01, 0.01, 0.01, 0.01, 0.01)
+#: A count n becomes one between n + LEAST and n + 1 + LEAST.
+LEAST = 0.02
 #: Share of a group that the estimate rests on.
 CORE = 0.75
 #: Fixed values for five axes: the factor that makes the scatter of the nearest 75 %
@@ -43,16 +48,21 @@ _PAIRS = [(i, j) for i in range(_N) for j in range(i, _N)]
 _FIT = ", ".join([f"m{i} double" for i in range(_N)] + [f"p{i}{j} double" for i, j in _PAIRS])
 
 
+def _blurred(count: str, axis: int) -> Column:
+    """The count, and a part of one that equal counts of a whole text share."""
+    part = F.pmod(F.xxhash64(F.lit(axis), *COUNTS), F.lit(1 << 20)) / float(1 << 20)
+    return F.col(count) + part + LEAST
+
+
 def _vector(stats: DataFrame) -> DataFrame:
-    """Transformed statistics. Roots of shares steady the spread; a constant in the
-    denominator keeps short texts from extremes."""
-    words = F.greatest("n_words", F.lit(1))
+    """Transformed statistics: logarithms of word length and of shares. A constant in
+    the denominator keeps short texts from extremes."""
     axes = (
-        F.log(F.greatest(F.col("word_chars") / words, F.lit(1.0))),
-        F.sqrt(F.col("n_symbols") / (F.col("word_chars") + 20)),
-        F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 3)),
-        F.sqrt(F.col("n_repeat_words") / (F.col("n_words") + 20)),
-        F.sqrt(F.col("n_upper") / (F.col("word_chars") + 20)),
+        F.log((F.col("word_chars") + 20) / (F.col("n_words") + 4)),
+        F.log(_blurred("n_symbols", 1) / (F.col("word_chars") + 20)),
+        F.log(_blurred("n_dup_lines", 2) / (F.col("n_lines") + 3)),
+        F.log(_blurred("n_repeat_words", 3) / (F.col("n_words") + 20)),
+        F.log((F.col("n_upper") + 0.5) / (F.col("word_chars") + 20)),
     )
     return stats.withColumns({f"x{i}": axis.cast("double") for i, axis in enumerate(axes)})
 

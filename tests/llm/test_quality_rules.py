@@ -76,6 +76,19 @@ def test_junk_goes_and_clean_text_stays(spark):
     assert judged.kept[judged.quality == 0].mean() < 0.6
 
 
+def test_scatter_comes_from_the_data(spark):
+    """Tables with some 11 % of "|" go too, and every axis has a spread above its floor."""
+    folder = "/root/testdata/sf0.1"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    judged = quality_rules.judge(documents).join(
+        spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("not base_failed").select("quality", "kept").toPandas()
+    assert judged.kept[judged.quality == 0].mean() < 0.05
+    rows = quality_rules._vector(text_stats(documents, "doc_id", "lang")).where("n_words >= 50 and lang = 'en'").toPandas()
+    for axis, floor in enumerate(quality_rules.FLOORS):
+        low, high = rows[f"x{axis}"].quantile([0.25, 0.75])
+        assert (high - low) / 1.349 > 2 * floor
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = quality_rules.judge(odd_docs).collect()
     assert len(rows) == odd_docs.count()
