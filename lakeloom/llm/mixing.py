@@ -12,16 +12,21 @@ others go on in proportion with a period of their own.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from collections.abc import Iterator, Mapping
 from fractions import Fraction
+from itertools import islice
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lakeloom.llm.common import require, stored
 
-#: Weights are shares of so many slots; also the longest period.
+#: Slots that ``whole_weights`` shares out, if not told otherwise.
 RESOLUTION = 1000
+#: Slots of the schedule that are written at once.
+BATCH = 20_000
 
 
 class Phase(NamedTuple):
@@ -98,32 +103,69 @@ def phases(blocks: Mapping, weights: Mapping) -> list[Phase]:
     return out
 
 
-def _tables(spark: SparkSession, plan: list[Phase]) -> tuple[DataFrame, DataFrame]:
-    spans, slots = [], []
-    for number, phase in enumerate(plan):
-        nexts = plan[number + 1].first if number + 1 < len(plan) else {}
-        seen: dict = {}
-        for slot, name in enumerate(phase.period):
-            slots.append((number, name, seen.get(name, 0), slot))
-            seen[name] = seen.get(name, 0) + 1
-        for name, weight in phase.weights.items():
-            spans.append((number, name, phase.first[name], nexts.get(name, 1 << 62), weight, phase.at, len(phase.period)))
-    return (
-        spark.createDataFrame(spans, "__phase int, __name string, __first long, __stop long, __weight long, __at long, __length long"),
-        spark.createDataFrame(slots, "__of_phase int, __named string, __at_turn long, __slot long"))
+def exact_weights(weights: Mapping) -> dict:
+    """Whole numbers in exactly the proportions of ``weights``."""
+    parts = {name: Fraction(weight) for name, weight in weights.items()}
+    if any(part <= 0 for part in parts.values()):
+        raise ValueError("a target weight has to be positive")
+    scale = math.lcm(*(part.denominator for part in parts.values()))
+    return {name: int(part * scale) for name, part in parts.items()}
+
+
+def schedule(blocks: Mapping, weights: Mapping) -> Iterator[tuple]:
+    """(source, block, slot, release, deadline) of every block, in order of slots.
+
+    ``weights`` are whole numbers. When a source's last block has run, the others
+    start anew from the next slot, by their weights among those that are left."""
+    names = sorted((name for name, count in blocks.items() if count > 0), key=lambda name: (name is not None, name))
+    used, start = dict.fromkeys(names, 0), 0
+    while names:
+        total, first, slot = sum(weights[name] for name in names), dict(used), start
+        waiting, ready = [(0, k, 0) for k in range(len(names))], []  # release, source, block
+        over = False
+        while not over:
+            while waiting and waiting[0][0] <= slot - start:
+                _, k, block = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(block + 1) * total // weights[names[k]]), k, block))
+            deadline, k, block = heapq.heappop(ready)
+            name = names[k]
+            share = weights[name]
+            yield name, first[name] + block, slot, start + block * total // share, start + deadline
+            used[name] += 1
+            slot += 1
+            over = used[name] == blocks[name]
+            if not over:
+                heapq.heappush(waiting, ((block + 1) * total // share, k, block + 1))
+        start = slot
+        names.remove(name)
+
+
+def _slots(spark: SparkSession, blocks: Mapping, weights: Mapping) -> DataFrame:
+    kind = "__name string, __block long, __slot long, __release long, __deadline long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.string(), *[pa.int64()] * 4)
+        names = ["__name", "__block", "__slot", "__release", "__deadline"]
+        for batch in batches:
+            if batch.num_rows:
+                rows = schedule(blocks, weights)
+                while part := list(islice(rows, BATCH)):
+                    yield pa.RecordBatch.from_arrays([pa.array(column, one) for column, one in zip(zip(*part), types)], names)
+
+    return stored(spark.range(0, 1, 1, 1).mapInArrow(run, kind), "mix-slots")
 
 
 def mix(docs: DataFrame, weights: Mapping | None = None, block: int = 8, by: str = "source", seed: int = 7,
-        tempering: float = 0.7, most_sources: int = 512, cell: int = 2_000) -> DataFrame:
+        tempering: float = 0.7, most_sources: int | None = None, cell: int = 2_000) -> DataFrame:
     """``docs`` with source block, slot, release, deadline and ``position`` added; all rows.
 
     ``position`` counts from 0 without gaps within a source's block; sorting by it
     gives the mix. Without ``weights`` a source weighs its size to the power
     ``tempering``. Every source needs a weight; a null source is one of its own. A
     source's order is by a hash of doc_id and text, ties by doc_id; repeated rows
-    stand together in any order. Sources are a list that weights are given for, so
-    at most ``most_sources`` are accepted; otherwise ValueError. Other columns pass
-    through; those of the added names are replaced.
+    stand together in any order. Sources are a list that weights are given for and
+    reach the driver with their sizes; more than ``most_sources``, if given, are a
+    ValueError. Other columns pass through; those of the added names are replaced.
 
     Ranks within a source come from counts of hash cells of about ``cell`` rows, so a
     source that holds most rows is still dealt over many tasks.
@@ -131,17 +173,17 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block: int = 8, by: str
     require(docs, "doc_id", by)
     added = ("block", "slot", "release", "deadline", "position", "__cell", "__order")
     plain = docs.select(*[F.col(f"`{name}`") for name in docs.columns if name not in added])
-    sizes = {row[0]: row[1] for row in plain.groupBy(F.col(by).cast("string")).count().limit(most_sources + 1).collect()}
-    if len(sizes) > most_sources:
+    counted = plain.groupBy(F.col(by).cast("string")).count()
+    sizes = {row[0]: row[1] for row in (counted if most_sources is None else counted.limit(most_sources + 1)).collect()}
+    if most_sources is not None and len(sizes) > most_sources:
         raise ValueError(f"more than {most_sources} sources")
     if weights is None:
-        weights = {name: Fraction(size ** tempering).limit_denominator(10 ** 6) for name, size in sizes.items()}
+        weights = {name: Fraction(size ** tempering) for name, size in sizes.items()}
     lacking = [name for name in sizes if name not in weights]
     if lacking:
         raise ValueError(f"no weight for sources {lacking[:5]}")
-    plan = phases({name: -(-size // block) for name, size in sizes.items()},
-                  whole_weights({name: weights[name] for name in sizes}) if sizes else {})
-    spans, slots = _tables(docs.sparkSession, plan)
+    slots = _slots(docs.sparkSession, {name: -(-size // block) for name, size in sizes.items()},
+                   exact_weights({name: weights[name] for name in sizes}))
 
     texts = ["text"] if "text" in plain.columns else []
     cells = max(1, -(-max(sizes.values(), default=1) // cell))
@@ -155,22 +197,10 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block: int = 8, by: str
         F.broadcast(offsets) if cells * len(sizes) < 10_000 else offsets,
         F.col(by).eqNullSafe(F.col("__of")) & (F.col("__cell") == F.col("__in"))).withColumn(
         "__rank", F.col("__rank") + F.col("__before")).withColumn("block", F.floor(F.col("__rank") / block))
-    # Both tables are bounded by the number of sources and the resolution.
-    named = F.col(by).cast("string")
-    placed = ranked.join(
-        F.broadcast(spans), named.eqNullSafe(F.col("__name")) & (F.col("block") >= F.col("__first")) & (
-            F.col("block") < F.col("__stop"))).withColumn("__turn", F.col("block") - F.col("__first"))
-    placed = placed.withColumn("__offset", F.col("__turn") % F.col("__weight")).join(
-        F.broadcast(slots), (F.col("__phase") == F.col("__of_phase")) & F.col("__name").eqNullSafe(F.col("__named")) & (
-            F.col("__offset") == F.col("__at_turn")))
-    start, turn, share, length = (F.col(name) for name in ("__at", "__turn", "__weight", "__length"))
-    slot = start + F.floor(turn / share) * length + F.col("__slot")
-    return placed.withColumns({
-        "release": start + F.floor(turn * length / share),
-        "deadline": start + F.ceil((turn + 1) * length / share),
-        "slot": slot,
-        "position": slot * block + F.col("__rank") % block,
-    }).select(*[F.col(f"`{name}`") for name in plain.columns], "block", "slot", "release", "deadline", "position")
+    placed = ranked.join(slots, F.col(by).cast("string").eqNullSafe(F.col("__name")) & (F.col("block") == F.col("__block")))
+    return placed.withColumn("position", F.col("__slot") * block + F.col("__rank") % block).select(
+        *[F.col(f"`{name}`") for name in plain.columns], "block", F.col("__slot").alias("slot"),
+        F.col("__release").alias("release"), F.col("__deadline").alias("deadline"), "position")
 
 
 def in_order(mixed: DataFrame) -> DataFrame:

@@ -89,3 +89,32 @@ def test_odd_rows(odd_docs, no_docs):
         mixing.mix(odd_docs, {"s0": 1})
     with pytest.raises(ValueError):
         mixing.mix(odd_docs, most_sources=1)
+
+
+def test_the_bound_holds_for_the_weights_as_given():
+    """Exact shares, far beyond a thousand slots, and of sources under a thousandth."""
+    targets = {"hot": Fraction(202_861, 10 ** 6), "tiny": Fraction(1, 5_000), **{f"s{k}": Fraction(k + 7, 300) for k in range(19)}}
+    weights, used = mixing.exact_weights(targets), dict.fromkeys(targets, 0)
+    total = sum(targets.values())
+    for name, _, slot, release, deadline in mixing.schedule(dict.fromkeys(targets, 10 ** 9), weights):
+        used[name] += 1
+        assert release <= slot < deadline
+        if slot % 97 == 0 or slot > 29_900:
+            assert all(abs(used[one] - targets[one] / total * (slot + 1)) < 1 for one in targets)
+        if slot == 30_000:
+            break
+
+
+def test_schedule_uses_every_block_once():
+    random.seed(5)
+    for _ in range(40):
+        blocks = {f"s{k}": random.randint(0, 30) for k in range(random.randint(1, 7))}
+        rows = list(mixing.schedule(blocks, mixing.exact_weights({name: random.random() + 0.01 for name in blocks})))
+        assert [row[2] for row in rows] == list(range(sum(blocks.values())))
+        assert sorted(row[:2] for row in rows) == sorted((name, k) for name, n in blocks.items() for k in range(n))
+        assert all(release <= slot < deadline for _, _, slot, release, deadline in rows)
+
+
+def test_more_than_512_sources(spark):
+    docs = spark.range(1400).select(F.col("id").alias("doc_id"), (F.col("id") % 700).cast("string").alias("source"))
+    _check(mixing.mix(docs, block=2), 1400, 2)
