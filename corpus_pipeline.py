@@ -2,6 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of documents. Each result is written as Parquet and read again.
+``run`` also keeps each document's place in the mix.
 """
 
 from __future__ import annotations
@@ -41,9 +42,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(copies.hint("shuffle_hash"), "doc_id", "left_anti").select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
+def with_positions(docs: DataFrame) -> DataFrame:
+    """All documents with ``position``, their place in the mix: sources interleave in
+    blocks by target weights, sizes to the power of 0.7."""
+    packed = docs.select("doc_id", "source", F.struct(
+        *[F.col(f"`{name}`") for name in docs.columns if name != "position"]).alias("row"))
+    return mixing.mix(packed).select("row.*", "position")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in files that follow the mix: sources interleave in blocks by
-    target weights, sizes to the power of 0.7."""
+    """All documents, in files that follow the mix."""
     packed = docs.select("doc_id", "source", F.struct("*").alias("row"))
     return mixing.in_order(mixing.mix(packed)).select("row.*")
 
@@ -66,7 +74,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in turn. Files alone do not hold an order once they are read in
+    splits, so the mix goes on as a column: the result has ``position``, is written in
+    its order and sorted by it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+        step = with_positions(docs) if stage is mix_sources else stage(spark, docs, sf_dir)
+        if name == STAGES[-1][0]:
+            step = step.repartitionByRange("position").sortWithinPartitions("position")
+        docs = stored(step, f"pipeline-{name}")
+    return docs.orderBy("position")

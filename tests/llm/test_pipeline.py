@@ -3,7 +3,7 @@
 import pytest
 
 import corpus_pipeline
-from lakeloom.llm import toxicity
+from lakeloom.llm import mixing, toxicity
 from tests.llm.conftest import SF
 from tests.llm.test_native import brute_lines
 from tests.llm.test_near_dedup import brute
@@ -52,6 +52,18 @@ def test_mix_and_tokens_keep_all(stages):
     assert stages[5].where("not exact").count() == 0
 
 
+def test_the_mix_reaches_the_result(spark, stages):
+    """Rows come in order of the mix, however the files are split."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = corpus_pipeline.run(spark, SF).select("doc_id", "position").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    mixed = mixing.mix(stages[3].select("doc_id", "source")).orderBy("position")
+    assert [tuple(row) for row in rows] == [tuple(row) for row in mixed.select("doc_id", "position").collect()]
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     for start in (odd_docs, no_docs):
         docs = start
