@@ -1,8 +1,10 @@
 """Nearest neighbours by inner product: an NN-descent graph and greedy search on it.
 
 Equal vectors are one node. Vectors get one more component that gives all of them
-the same norm, so that the largest inner product is also the smallest angle, and
-travel as bytes. Random hyperplanes deal nodes into leaves for a first graph; each
+the same norm, so that the largest inner product is also the smallest angle. Their own
+components travel as bytes with a scale a vector; what the added one gives to a product,
+less the largest norm's square, comes from two floats beside them, as the component
+itself is by far the largest where few vectors are long. Random hyperplanes deal nodes into leaves for a first graph; each
 round then joins the neighbours of every node with each other and keeps the best
 for each. A search expands the best unexpanded nodes of its beam until none is left;
 scores that are returned come from the original vectors.
@@ -62,6 +64,17 @@ def _bytes_matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1).astype(np.float32)
 
 
+def _rows_matrix(q: pa.Array, scale: pa.Array, fall: pa.Array, lack: pa.Array) -> np.ndarray:
+    """Own components, lack and fall of each vector, as floats."""
+    x = _bytes_matrix(q) * np.asarray(scale, np.float32)[:, None]
+    return np.hstack([x, np.asarray(lack, np.float32)[:, None], np.asarray(fall, np.float32)[:, None]])
+
+
+def _alike(x: np.ndarray) -> np.ndarray:
+    """Products of all pairs with the added component, less the largest norm's square."""
+    return x[:, :-1] @ x[:, :-1].T - x[:, -1][:, None] - x[:, -1][None, :]
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -78,8 +91,9 @@ def _quantized(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(nodes: DataFrame, count: int) -> DataFrame:
-    """node, bytes q, scale, and one leaf code a tree. What reaches the driver is a
-    mean vector; hyperplanes are drawn from a fixed seed."""
+    """node, bytes q, scale, fall, lack, and one leaf code a tree. The added component is
+    the largest norm less ``lack``, and ``fall`` is lack times the largest norm. What
+    reaches the driver is a mean vector; hyperplanes are drawn from a fixed seed."""
     totals = nodes.select("v").mapInArrow(_sums, "place int, total double, norm double").groupBy("place").agg(
         F.sum("total").alias("total"), F.max("norm").alias("norm")).orderBy("place").collect()
     mean = np.array([row["total"] / max(count, 1) for row in totals])
@@ -92,17 +106,20 @@ def pack(nodes: DataFrame, count: int) -> DataFrame:
             x = _matrix(batch.column(1))
             if not len(x):
                 continue
-            extra = np.sqrt(np.maximum(most - (x * x).sum(axis=1), 0))
-            q, scale = _quantized(np.hstack([x, extra[:, None]]))
+            norm = (x * x).sum(axis=1)
+            lack = norm / (np.sqrt(most) + np.sqrt(np.maximum(most - norm, 0)))
+            q, scale = _quantized(x)
             codes = np.zeros((len(x), TREES), np.int32)
             for tree in range(TREES):
                 codes[:, tree] = ((x - mean) @ planes[tree].T > 0) @ (1 << np.arange(bits, dtype=np.int64))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), binary_column(q.reshape(-1), np.full(len(x), q.shape[1])),
-                pa.array(scale.astype(np.float32)), list_column(codes.reshape(-1), np.full(len(x), TREES), pa.int32())],
-                ["node", "q", "scale", "codes"])
+                pa.array(scale.astype(np.float32)), pa.array((lack * np.sqrt(most)).astype(np.float32)), pa.array(lack.astype(np.float32)),
+                list_column(codes.reshape(-1), np.full(len(x), TREES), pa.int32())],
+                ["node", "q", "scale", "fall", "lack", "codes"])
 
-    return stored(nodes.select("node", "v").mapInArrow(run, "node long, q binary, scale float, codes array<int>"), "ann-packed")
+    return stored(nodes.select("node", "v").mapInArrow(
+        run, "node long, q binary, scale float, fall float, lack float, codes array<int>"), "ann-packed")
 
 
 def _best(owner: np.ndarray, sim: np.ndarray, node: np.ndarray, keep: int,
@@ -148,9 +165,8 @@ def merged(found: DataFrame, keep: int) -> DataFrame:
 def _leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in groups(batches, 3):
         node = group.column(3).to_numpy()
-        scale = group.column(5).to_numpy()
-        q = _bytes_matrix(group.column(4).combine_chunks())
-        sim = (q @ q.T) * scale[:, None] * scale[None, :]
+        x = _rows_matrix(*(group.column(c).combine_chunks() for c in (4, 5, 6, 7)))
+        sim = _alike(x)
         np.fill_diagonal(sim, -np.inf)
         keep = min(LEAF_DEGREE, len(node) - 1)
         if keep:
@@ -160,11 +176,11 @@ def _leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _join_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (v, block, u, q, scale, least) sorted by v and block: all u of one v are
+    """Rows (v, block, u, q, scale, fall, lack, least) sorted by v and block: all u of one v are
     compared, and pairs better than what an end has so far are returned."""
     held = None
     for batch in batches:
-        now = [np.asarray(batch.column(c)) for c in (0, 1, 2, 4, 5)] + [_bytes_matrix(batch.column(3))]
+        now = [np.asarray(batch.column(c)) for c in (0, 1, 2, 7)] + [_rows_matrix(*batch.columns[3:7])]
         if held is not None:
             now = [np.concatenate([old, new]) if len(new) else old for old, new in zip(held, now)]
         if not len(now[0]):
@@ -179,12 +195,12 @@ def _join_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _local(now: list[np.ndarray], cuts: list[int]) -> Iterator[pa.RecordBatch]:
-    _, _, node, scale, least, q = now
+    _, _, node, least, x = now
     owners, sims, others = [], [], []
     for low, high in zip(cuts, cuts[1:]):
         one, at = np.unique(node[low:high], return_index=True)
         at += low
-        sim = (q[at] @ q[at].T) * scale[at][:, None] * scale[at][None, :]
+        sim = _alike(x[at])
         np.fill_diagonal(sim, -np.inf)
         left, right = np.nonzero(sim > least[at][:, None])
         owners.append(one[left])
@@ -211,10 +227,10 @@ def descend(packed: DataFrame, rounds: int = 3, still: float = 0.02) -> DataFram
     """The neighbour graph: node, and its ``DEGREE`` nearest found, nearest first.
 
     Ends after ``rounds``, or when a round changes less than ``still`` of the links."""
-    spread = packed.select("node", "q", "scale", F.posexplode("codes").alias("tree", "code"))
+    spread = packed.select("node", "q", "scale", "fall", "lack", F.posexplode("codes").alias("tree", "code"))
     sizes = stored(spread.groupBy("tree", "code").agg(F.count("*").alias("size")), "ann-leaves")
     part = F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("size") / LEAF)).cast("int")
-    leaves = spread.join(sizes, ["tree", "code"]).select("tree", "code", part.alias("part"), "node", "q", "scale")
+    leaves = spread.join(sizes, ["tree", "code"]).select("tree", "code", part.alias("part"), "node", "q", "scale", "fall", "lack")
     first = leaves.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part").mapInArrow(
         _leaf, f"owner long, found {_CANDIDATES}")
     alone = packed.select(F.col("node").alias("owner"), F.array().cast(_CANDIDATES).alias("found"))
@@ -222,9 +238,9 @@ def descend(packed: DataFrame, rounds: int = 3, still: float = 0.02) -> DataFram
     for _ in range(rounds):
         same = graph.select(F.col("owner").alias("v"), F.lit(0).alias("block"), F.col("owner").alias("u"))
         edges = both_ways(graph).union(same)
-        known = packed.select(F.col("node").alias("u"), "q", "scale").join(
+        known = packed.select(F.col("node").alias("u"), "q", "scale", "fall", "lack").join(
             graph.select(F.col("owner").alias("u"), _least("found", DEGREE).alias("least")), "u")
-        new = edges.join(known, "u").select("v", "block", "u", "q", "scale", "least").repartition("v", "block").sortWithinPartitions(
+        new = edges.join(known, "u").select("v", "block", "u", "q", "scale", "fall", "lack", "least").repartition("v", "block").sortWithinPartitions(
             "v", "block").mapInArrow(_join_neighbours, f"owner long, found {_CANDIDATES}")
         better = stored(merged(new.union(graph), DEGREE), "ann-graph")
         moved = better.join(graph.select("owner", F.col("found").alias("old")), "owner").agg(
@@ -262,7 +278,7 @@ def search(queries: DataFrame, graph: DataFrame, packed: DataFrame, beam: int =
         for batch in batches:
             x = _matrix(batch.column(1))
             if len(x):
-                q, scale = _quantized(np.hstack([x, np.zeros((len(x), 1))]))
+                q, scale = _quantized(x)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), binary_column(q.reshape(-1), np.full(len(x), q.shape[1])),
                     pa.array(scale.astype(np.float32)), batch.column(2)], ["query", "q", "scale", "entry"])

@@ -57,6 +57,19 @@ def test_graph_and_search_over_many_leaves(spark, monkeypatch):
             assert score == pytest.approx(float(vectors[vec_id] @ vectors[query]), rel=1e-12)
 
 
+def test_a_few_very_long_vectors(spark, monkeypatch):
+    """Three vectors 100 times as long as the rest leave the others' order alone."""
+    monkeypatch.setattr(neighbours, "LEAF", 64)
+    random = np.random.default_rng(8)
+    vectors = random.standard_normal((1500, 12))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[[3, 501, 1001]] *= 100
+    table = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(vectors)], "vec_id long, embedding array<double>")
+    ids = np.arange(1500)
+    want = brute(ids, vectors, ids[ids % 20 == 0])
+    assert recall(found(near(table)), want) >= 0.9
+
+
 def test_copies_ties_and_unusable_rows(spark):
     random = np.random.default_rng(6)
     rows = [(k, [1.0, 0.0, 0.5]) for k in range(0, 120)]
