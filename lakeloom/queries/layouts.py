@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import time
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeloom.operators import layout
+from lakeloom.operators import clustering, layout
 from lakeloom.operators.sinks import drop_table, register_table
 from lakeloom.queries.registry import register
 from lakeloom.queries.reports import STAR_SQL, join_star_agg
 from lakeloom.session import ADAPTIVE_OFF, conf_scope, scratch_path
-from lakeloom.sources.files import fixture, fixture_glob, stored_bytes, table_detail
+from lakeloom.sources.files import fixture, fixture_glob, stored_bytes, stored_files, table_detail
 
 #: Layout jobs move whole rows, so whole rows are compared.
 LINES_SQL = "SELECT * FROM lineitem"
@@ -39,22 +36,19 @@ def layout_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@register("""
-SELECT c_name, count(*) AS row_count, TRUE AS half_of_files_or_less FROM customer
-WHERE c_custkey % 10 = 3 GROUP BY c_name
-""")
+@register("SELECT c_name, count(*) AS row_count, TRUE AS half_of_files_or_less FROM customer GROUP BY c_name")
 def layout_cluster_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clustered by a text with a common beginning: the range of a file's names shows
     which files a name can stand in."""
-    path = scratch_path(spark, "names")
-    customers = fixture(spark, sf_dir, "customer")
-    layout.cluster(customers, path, ["c_name"], 8)
+    path, files = scratch_path(spark, "names"), 8
+    layout.cluster(fixture(spark, sf_dir, "customer"), path, ["c_name"], files)
     stored = spark.read.parquet(path)
-    bounds = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.min("c_name").alias("low"), F.max("c_name").alias("high")).collect()
-    names = stored.where("c_custkey % 10 = 3").groupBy("c_name").agg(F.count("*").alias("row_count"))
-    touched = sum((F.col("c_name").between(row["low"], row["high"]).cast("int") for row in bounds), F.lit(0))
-    return names.withColumn("half_of_files_or_less", touched <= len(bounds) / 2)
+    bounds = layout.file_bounds(stored, ["c_name"])
+    names = stored.groupBy("c_name").agg(F.count("*").alias("row_count"))
+    touched = names.join(F.broadcast(bounds.select("min_c_name", "max_c_name")),  # eight rows
+                         F.col("c_name").between(F.col("min_c_name"), F.col("max_c_name")))
+    return touched.groupBy("c_name").agg(
+        F.any_value("row_count").alias("row_count"), (F.count("*") <= files / 2).alias("half_of_files_or_less"))
 
 
 @register(LINES_SQL)
@@ -63,13 +57,41 @@ def layout_cluster_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch_path(spark, "source"), scratch_path(spark, "clustered")
     lines, columns = fixture(spark, sf_dir, "lineitem"), ["l_shipdate", "l_partkey"]
     lines.where("l_shipdate < '2000-01-01'").write.parquet(source)
-    layout.cluster_files(spark, source, target, columns)
-    newest = spark.read.format("binaryFile").load(source).agg(F.max("modificationTime")).first()[0]
-    time.sleep(1.1)  # file times are compared by the second
+    clustering.cluster_new(spark, source, target, columns)
     lines.where("l_shipdate >= '2000-01-01'").write.mode("append").parquet(source)
-    since = (newest + timedelta(milliseconds=500)).strftime("%Y-%m-%dT%H:%M:%S")
-    layout.cluster_files(spark, source, target, columns, modified_after=since)
-    return spark.read.parquet(target)
+    clustering.cluster_new(spark, source, target, columns)
+    return clustering.read_clustered(spark, target)
+
+
+@register("SELECT *, TRUE AS half_of_files_or_less FROM lineitem WHERE l_partkey BETWEEN 40 AND 55 AND l_suppkey BETWEEN 3 AND 9")
+def layout_file_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A narrow lookup in a clustered table opens the files whose stored ranges match."""
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "clustered")
+    fixture(spark, sf_dir, "lineitem").write.parquet(source)
+    clustering.cluster_new(spark, source, target, ["l_partkey", "l_suppkey"], file_bytes=stored_bytes(spark, source) // 16)
+    found, opened = clustering.read_matching(spark, target, {"l_partkey": (40, 55), "l_suppkey": (3, 9)})
+    files = clustering.stored_bounds(spark, target).count()
+    return found.withColumn("half_of_files_or_less", F.lit(opened <= files / 2))
+
+
+@register("""
+SELECT *, CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 'left alone' ELSE 'rewritten' END AS file_was,
+       TRUE AS fewer_files FROM lineitem
+""")
+def layout_compact_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with large and small files; only the small ones are rewritten."""
+    path = scratch_path(spark, "mixed")
+    lines = fixture(spark, sf_dir, "lineitem")
+    early = F.col("l_shipdate") < "1998-01-01"
+    lines.where(early).coalesce(1).write.parquet(path)
+    large = stored_files(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("name")).first()["name"]
+    size = stored_bytes(spark, path)
+    lines.where(~early).repartition(24).write.mode("append").parquet(path)
+    done = clustering.compact_small(spark, path, file_bytes=size, small=0.9)
+    same = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1) == large
+    return spark.read.parquet(path).select(
+        *lines.columns, F.when(same, "left alone").otherwise("rewritten").alias("file_was"),
+        F.lit(done.written < done.rewritten and done.untouched == 1).alias("fewer_files"))
 
 
 @register(LINES_SQL)
