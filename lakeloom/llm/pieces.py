@@ -20,6 +20,9 @@ from lakeloom.llm.common import hash_spans, list_column, require, slices, text_b
 #: How much worse than the worst piece an unknown character is, as the public format has it.
 UNKNOWN_PENALTY = 10.0
 SPACE = 0x20
+#: Flattens the head of the law by which ranks become probabilities.
+RANK_SHIFT = 2.7
+NO_MERGE = -1e8
 
 
 class Trie(NamedTuple):
@@ -90,15 +93,34 @@ def build_trie(words: dict[bytes, int]) -> Trie:
 
 
 def load(path: str) -> Vocabulary:
-    """Pieces and scores of a public model file, read on the driver."""
+    """Pieces of a public model file with log scores, read on the driver. The scores
+    of a file whose scores are ranks become log probabilities by ``from_ranks``."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return vocabulary([
+    pieces = [
         (model.id_to_piece(i), model.get_score(i),
          "byte" if model.is_byte(i) else "unknown" if model.is_unknown(i) else
          "control" if model.is_control(i) or model.is_unused(i) else "normal")
-        for i in range(model.get_piece_size())])
+        for i in range(model.get_piece_size())]
+    return vocabulary(from_ranks(pieces) if are_ranks(pieces) else pieces)
+
+
+def are_ranks(pieces: list[tuple[str, float, str]]) -> bool:
+    """Scores of merges fall by one from id to id; log scores do not. Pieces that no
+    merge makes stand far below."""
+    sums = {number + score for number, (_, score, kind) in enumerate(pieces) if kind == "normal" and score > NO_MERGE}
+    return len(sums) == 1
+
+
+def from_ranks(pieces: list[tuple[str, float, str]], shift: float = RANK_SHIFT) -> list[tuple[str, float, str]]:
+    """Log probabilities by the law of Zipf and Mandelbrot: a piece's probability falls
+    as one over its rank, in order of ids, plus ``shift``. Nothing is learned from a
+    corpus."""
+    normal = [number for number, piece in enumerate(pieces) if piece[2] == "normal"]
+    weight = 1 / (np.arange(1, len(normal) + 1) + shift)
+    logs = dict(zip(normal, (np.log(weight) - np.log(weight.sum())).tolist()))
+    return [(piece, logs.get(number, score), kind) for number, (piece, score, kind) in enumerate(pieces)]
 
 
 def vocabulary(pieces: list[tuple[str, float, str]]) -> Vocabulary:

@@ -72,6 +72,33 @@ def test_matches_the_library(public):
         assert public.scores[ids].sum() >= public.scores[best].sum() and library.decode(ids) == text
 
 
+def test_ranks_become_log_probabilities(public):
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=MODEL)
+    normal = np.array([i for i in range(library.get_piece_size()) if not (
+        library.is_byte(i) or library.is_unknown(i) or library.is_control(i) or library.is_unused(i))])
+    assert abs(np.exp(public.scores[normal]).sum() - 1) < 1e-9
+    assert (np.diff(public.scores[normal]) < 0).all()
+    given = [("a", -1.5, "normal"), ("b", -2.25, "normal"), ("<unk>", 0.0, "unknown")]
+    assert not pieces.are_ranks(given) and pieces.are_ranks([("a", 0.0, "normal"), ("b", -1.0, "normal"), ("c", -2.0, "normal")])
+
+
+def test_matches_the_library_on_log_scores(public):
+    """The library, given the same log scores as a unigram model, takes paths of the same score."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    model_pb2 = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    proto = model_pb2.ModelProto()
+    with open(MODEL, "rb") as file:
+        proto.ParseFromString(file.read())
+    proto.trainer_spec.model_type = 1
+    for number, piece in enumerate(proto.pieces):
+        piece.score = public.scores[number]
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    texts = ["there is a thing", "international organisations of the world", "Engebero geveru auf schon", "12 apples", "hello  world"]
+    for text, ids in zip(texts, encode(texts, public)):
+        assert abs(public.scores[ids].sum() - public.scores[library.encode(text)].sum()) < 1e-3
+        assert len(ids) <= 2 + len(sentencepiece.SentencePieceProcessor(model_file=MODEL).encode(text))
+
+
 def test_trie_holds_every_piece(public):
     trie = public.trie
     library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=MODEL)
