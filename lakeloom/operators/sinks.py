@@ -45,31 +45,57 @@ def land_dated(df: DataFrame, base: str, file_date: str) -> str:
 
 def append_evolving(df: DataFrame, path: str) -> None:
     """Append rows that may carry new columns. The merged schema is kept beside the
-    rows, before they are added, so a reader opens no footers to find it."""
-    known = _evolved_schema(df.sparkSession, path)
+    rows, before they are added, so a reader opens no footers to find it. A folder
+    written without one gets the merged schema of its files as its first."""
+    spark = df.sparkSession
+    known = stored_schema(spark, path)
+    if known is None:
+        known = _footer_schema(spark, path)
+        if known is not None:
+            store_schema(spark, path, known)
+    wide = widened(known, df.schema)
+    if known is None or len(wide) > len(known):
+        store_schema(spark, path, wide)
+    df.write.mode("append").parquet(path)
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    schema = stored_schema(spark, path)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def widened(known: StructType | None, new: StructType) -> StructType:
+    """The known columns, then the new ones; a column keeps its type."""
     fields = {field.name: field for field in known.fields} if known else {}
-    for field in df.schema.fields:
+    for field in new.fields:
         held = fields.setdefault(field.name, StructField(field.name, field.dataType))
         if held.dataType != field.dataType:
             raise ValueError(f"column {field.name} is stored as {held.dataType.simpleString()}")
-    if known is None or len(fields) > len(known.fields):
-        text = StructType(list(fields.values())).json()
-        df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(f"{path}/{_SCHEMAS}")
-    df.write.mode("append").parquet(path)
+    return StructType(list(fields.values()))
 
 
-def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    schema = _evolved_schema(spark, path)
-    return spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", "true").parquet(path)
+def store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Add a version to the schemas kept beside the rows."""
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("append").text(f"{path}/{_SCHEMAS}")
 
 
-def _evolved_schema(spark: SparkSession, path: str) -> StructType | None:
-    """The widest schema stored; each one holds the columns of those before."""
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The columns of all versions, so that two appends at once lose none."""
     try:
         rows = spark.read.text(f"{path}/{_SCHEMAS}", wholetext=True).collect()
     except AnalysisException:
         return None
-    return max((StructType.fromJson(json.loads(row["value"])) for row in rows), key=len, default=None)
+    schema = None
+    for version in sorted((StructType.fromJson(json.loads(row["value"])) for row in rows), key=len):
+        schema = widened(schema, version)
+    return schema
+
+
+def _footer_schema(spark: SparkSession, path: str) -> StructType | None:
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
+    except AnalysisException:  # no folder, or no file in it
+        return None
 
 
 def append_run(df: DataFrame, path: str, run_id: str, run_column: str = "_run_id") -> int:
@@ -113,7 +139,7 @@ def create_table(spark: SparkSession, table: str, columns: str, path: str, comme
     note = f" COMMENT '{_quoted(comment)}'" if comment else ""
     pairs = ", ".join(f"'{_quoted(k)}' = '{_quoted(v)}'" for k, v in (properties or {}).items())
     props = f" TBLPROPERTIES ({pairs})" if pairs else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{path}'{note}{props}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{_quoted(path)}'{note}{props}")
 
 
 def register_table(df: DataFrame, table: str, path: str, mode: str = "overwrite",

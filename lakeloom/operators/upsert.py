@@ -4,9 +4,11 @@ A keyed table is a folder of Parquet partitioned by ``bkt``, a hash of the key.
 An upsert rewrites only buckets that hold a matched key; rows of other buckets
 are appended as new files. New files are first written to a staged folder, then a
 small record says that they are complete, and only then are they moved into
-place. Whoever opens the table next finishes a move that was cut short, so no row
-is lost wherever the driver stops. Limits: one writer at a time, no snapshots for
-concurrent readers, no history.
+place. The next writer finishes a move that was cut short, so no row is lost wherever
+the driver stops; a reader changes nothing and reads staged files where they are.
+Columns added later are null in rows written before. Limits: one writer at a time, no
+snapshots for concurrent readers, no history; the driver holds the numbers of touched
+buckets and moves files.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSe
 from pyspark.sql.types import IntegerType, StructType
 
 from lakeloom.operators.dedup import latest_per_key
+from lakeloom.operators.sinks import store_schema, stored_schema, widened
 from lakeloom.sources.files import stored_files
 
 BUCKET = "bkt"
@@ -31,6 +34,7 @@ _INFO = "_keyed"
 _STAGED = "_staged"
 _PENDING = "_pending"
 _LAST = "_last"
+_BUCKETS = "_buckets"
 
 
 @dataclass(frozen=True)
@@ -149,9 +153,37 @@ class KeyedTable:
     def keys(self) -> list[str]:
         return self._info()["keys"]
 
+    @property
+    def buckets(self) -> int:
+        grown = self._record(_BUCKETS)
+        return grown["buckets"] if grown else self._info()["buckets"]
+
+    def schema(self) -> StructType:
+        """The columns of the first version, then those added since."""
+        first = StructType.fromJson(self._info()["schema"])
+        later = stored_schema(self.spark, self.path)
+        return widened(first, later) if later else first
+
     def rows(self) -> DataFrame:
-        self.recover()
-        return self._reader().parquet(self.path).drop(BUCKET)
+        """All rows. Where a commit has been recorded but not moved yet, its staged
+        files are read in place of those they replace; nothing is written."""
+        pending = self._record(_PENDING)
+        if not pending:
+            return self._reader().parquet(self.path).drop(BUCKET)
+        staged = self._bucket_folders(pending["staged"])
+        gone = {f"{BUCKET}={bucket}" for bucket in pending["replace"]} & set(staged)
+        gone |= {f"{BUCKET}={bucket}" for bucket in pending.get("empty", ())}
+        kept = [f"{self.path}/{name}" for name in self._bucket_folders("") if name not in gone]
+        parts = [self._reader().parquet(*kept)] if kept else []
+        if staged:
+            base = f"{self.path}/{pending['staged']}"
+            parts.append(self._reader(base).parquet(*[f"{base}/{name}" for name in staged]))
+        return reduce(DataFrame.unionByName, parts).drop(BUCKET)
+
+    def _bucket_folders(self, below: str) -> list[str]:
+        path, files = self._hadoop(below) if below else self._hadoop(".")
+        names = [folder.getPath().getName() for folder in files.listStatus(path)] if files.exists(path) else []
+        return [name for name in names if name.startswith(f"{BUCKET}=")]
 
     def _hadoop(self, name: str):
         """A path below the table and its file system."""
@@ -174,10 +206,15 @@ class KeyedTable:
             raise OSError(f"cannot store {path}")
 
     def recover(self) -> None:
-        """Finish a commit that was cut short; one that was not complete is dropped."""
+        """Finish a commit that was cut short and remove what incomplete ones left.
+        Writers do so before they begin."""
         pending = self._record(_PENDING)
         if pending:
             self._move(pending)
+        root, files = self._hadoop(".")
+        for folder in files.listStatus(root) if files.exists(root) else []:
+            if folder.getPath().getName().startswith(_STAGED):
+                files.delete(folder.getPath(), True)
 
     def _move(self, pending: dict) -> None:
         """Move staged files into place. Each step can be repeated: a bucket that was
@@ -196,6 +233,10 @@ class KeyedTable:
             files.mkdirs(target)
             for part in files.listStatus(folder.getPath()):
                 self._rename(files, part.getPath(), self._hadoop(f"{name}/{part.getPath().getName()}")[0])
+        for bucket in pending.get("empty", ()):
+            files.delete(self._hadoop(f"{BUCKET}={bucket}")[0], True)
+        if pending.get("buckets"):
+            self._set_record(_BUCKETS, {"buckets": pending["buckets"]})
         if pending["tag"] is not None:
             self._set_record(_LAST, {"tag": pending["tag"], "metrics": pending["metrics"]})
         files.delete(self._hadoop(_PENDING)[0], True)
@@ -206,9 +247,8 @@ class KeyedTable:
         if not files.rename(source, target):
             raise OSError(f"cannot move {source} to {target}")
 
-    def _reader(self) -> DataFrameReader:
-        schema = StructType.fromJson(self._info()["schema"]).add(BUCKET, IntegerType())
-        return self.spark.read.schema(schema).option("basePath", self.path)
+    def _reader(self, base: str | None = None) -> DataFrameReader:
+        return self.spark.read.schema(self.schema().add(BUCKET, IntegerType())).option("basePath", base or self.path)
 
     def _buckets(self, wanted: Iterable[int]) -> DataFrame:
         """Rows of some buckets. Their folders are named to the reader, so the
@@ -232,22 +272,39 @@ class KeyedTable:
         info = json.dumps({"keys": keys, "buckets": buckets, "schema": df.schema.jsonValue()})
         self.spark.createDataFrame([(info,)], "value string").coalesce(1).write.text(f"{self.path}/{_INFO}")
 
-    def _columns(self) -> list[str]:
-        return [field["name"] for field in self._info()["schema"]["fields"]]
-
-    def append(self, df: DataFrame) -> None:
-        """Add rows without looking for their keys."""
+    def _conformed(self, df: DataFrame, evolve: bool = False) -> DataFrame:
+        """``df`` with the table's columns in order. Further columns are added to the
+        table with ``evolve`` and an error without; lacking ones are an error."""
+        held = self.schema()
+        more = [field.name for field in df.schema.fields if field.name not in held.names]
+        if more:
+            if not evolve:
+                raise ValueError(f"columns the table lacks: {more}")
+            held = widened(held, df.schema)
+            store_schema(self.spark, self.path, held)
+        return df.select(*[F.col(f"`{name}`") for name in held.names])
+
+    def append(self, df: DataFrame, tag: str | None = None, evolve: bool = False) -> UpsertMetrics:
+        """Add rows without looking for their keys. Nothing is done if the last commit
+        carried the same ``tag``."""
         self.recover()
-        info = self._info()
-        self._write(df.select(*self._columns()).withColumn(BUCKET, bucket_of(info["keys"], info["buckets"])), "append")
+        done = self._done(tag)
+        if done:
+            return done
+        rows = self._conformed(df, evolve).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+        return self._stage(rows.withColumn("_matched", F.lit(None).cast("boolean")), None, None, [], tag)
+
+    def _done(self, tag: str | None) -> UpsertMetrics | None:
+        last = self._record(_LAST) if tag is not None else None
+        return UpsertMetrics(**last["metrics"]) if last and last["tag"] == tag else None
 
     @contextmanager
-    def _incoming(self, df: DataFrame, newest: Sequence[str],
-                  tie_breaks: Sequence[str]) -> Iterator[tuple[DataFrame, dict[int, int]]]:
+    def _incoming(self, df: DataFrame, newest: Sequence[str], tie_breaks: Sequence[str],
+                  evolve: bool = False) -> Iterator[tuple[DataFrame, dict[int, int]]]:
         """The source, one row per key with its bucket, held for several uses;
         and its row count per bucket."""
-        keys, buckets = self.keys, self._info()["buckets"]
-        latest = latest_per_key(df.select(*self._columns()), keys, newest or keys, tie_breaks)
+        keys, buckets = self.keys, self.buckets
+        latest = latest_per_key(self._conformed(df, evolve), keys, newest or keys, tie_breaks)
         source = latest.withColumn(BUCKET, bucket_of(keys, buckets)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             yield source, {row[BUCKET]: row["count"] for row in source.groupBy(BUCKET).count().collect()}
@@ -255,17 +312,18 @@ class KeyedTable:
             source.unpersist()
 
     def upsert(self, df: DataFrame, newest: Sequence[str] = (), tie_breaks: Sequence[str] = (),
-               only_newer: bool = False, tag: str | None = None) -> UpsertMetrics:
+               only_newer: bool = False, tag: str | None = None, evolve: bool = False) -> UpsertMetrics:
         """Update all columns of matched rows and insert the others. With
         ``only_newer`` a stored row gives way only to a row not older by the
         ``newest`` columns, so that late arrivals do not undo later ones. If the last
-        upsert carried the same ``tag``, nothing is done and its metrics are returned."""
+        commit carried the same ``tag``, nothing is done and its metrics are returned.
+        Columns the table lacks are an error, or with ``evolve`` added to it."""
         self.recover()
-        done = self._record(_LAST) if tag is not None else None
-        if done and done["tag"] == tag:
-            return UpsertMetrics(**done["metrics"])
+        done = self._done(tag)
+        if done:
+            return done
         join_keys = [BUCKET, *self.keys]
-        with self._incoming(df, newest, tie_breaks) as (source, per_bucket):
+        with self._incoming(df, newest, tie_breaks, evolve) as (source, per_bucket):
             if not per_bucket:
                 return UpsertMetrics(0, 0, 0, 0)
             matched = matched_keys(self._buckets(per_bucket), source, join_keys).persist(StorageLevel.MEMORY_AND_DISK)
@@ -288,7 +346,7 @@ class KeyedTable:
         with self._incoming(df, newest, tie_breaks) as (source, per_bucket):
             if per_bucket:
                 fresh = absent_rows(self._buckets(per_bucket), source, [BUCKET, *self.keys])
-                self._write(fresh, "append")
+                self._stage(fresh.withColumn("_matched", F.lit(None).cast("boolean")), None, None, [], None)
 
     def compact(self, max_files: int = 8) -> int:
         """Rewrite the buckets that appends have left with more than ``max_files``
@@ -302,6 +360,24 @@ class KeyedTable:
             self._stage(rows, 0, 0, crowded, None)
         return len(crowded)
 
+    def grow(self, buckets: int) -> None:
+        """Split every bucket, so that the number set at creation is not final: bucket b
+        of n becomes b, b + n, b + 2n and so on of a multiple of n. A task writes parts
+        of the buckets it reads, so rows are not shuffled."""
+        self.recover()
+        before = self.buckets
+        if buckets <= before or buckets % before:
+            raise ValueError(f"not a multiple of {before} buckets: {buckets}")
+        old = [int(name.split("=")[1]) for name in self._bucket_folders("")]
+        staged = f"{_STAGED}-{uuid.uuid4().hex}"
+        rows = self._reader().parquet(self.path).withColumn(BUCKET, bucket_of(self.keys, buckets))
+        rows.write.partitionBy(BUCKET).parquet(f"{self.path}/{staged}")
+        filled = {int(name.split("=")[1]) for name in self._bucket_folders(staged)}
+        pending = {"staged": staged, "replace": old, "empty": [bucket for bucket in old if bucket not in filled],
+                   "buckets": buckets, "tag": None, "metrics": None}
+        self._set_record(_PENDING, pending)
+        self._move(pending)
+
     def write(self, df: DataFrame, keys: Sequence[str], buckets: int, mode: str = "merge",
               newest: Sequence[str] = (), tie_breaks: Sequence[str] = ()) -> UpsertMetrics | None:
         """First run creates the table; later runs append or merge."""
@@ -320,19 +396,24 @@ class KeyedTable:
         into several files and join small ones into one task."""
         self._save(df.hint("rebalance", BUCKET), mode, replace)
 
-    def _stage(self, df: DataFrame, total: int, inserted: int, replace: list[int], tag: str | None) -> UpsertMetrics:
+    def _stage(self, df: DataFrame, total: int | None, inserted: int | None, replace: list[int], tag: str | None) -> UpsertMetrics:
         """Write rows aside, record that they are complete, move them into place.
-        Updated and copied rows are observed after the shuffle, in the writing stage,
-        so that a map task repeated after the loss of an executor is not counted twice."""
+        Updated and copied rows (and, where no total is given, inserted ones) are
+        observed after the shuffle, in the writing stage, so that a map task repeated
+        after the loss of an executor is not counted twice."""
         counts = Observation()
         watched = df.hint("rebalance", BUCKET).observe(
             counts,
             F.count_if(F.col("_matched")).alias("updated"),
             F.count_if(~F.col("_matched")).alias("copied"),
+            F.count_if(F.col("_matched").isNull()).alias("inserted"),
         )
         staged = f"{_STAGED}-{uuid.uuid4().hex}"
         watched.drop("_matched").write.partitionBy(BUCKET).parquet(f"{self.path}/{staged}")
-        metrics = UpsertMetrics(total, inserted, counts.get["updated"], counts.get["copied"])
+        seen = counts.get
+        if inserted is None:
+            total = inserted = seen["inserted"]
+        metrics = UpsertMetrics(total, inserted, seen["updated"], seen["copied"])
         pending = {"staged": staged, "replace": replace, "tag": tag, "metrics": asdict(metrics)}
         self._set_record(_PENDING, pending)
         self._move(pending)

@@ -47,6 +47,39 @@ def upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([metrics], ", ".join(f"{name} bigint" for name in metrics))
 
 
+@register("""
+SELECT * REPLACE (CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN o_totalprice + 1000
+                       ELSE o_totalprice END AS o_totalprice), TRUE AS more_buckets
+FROM orders
+""")
+def upsert_grow_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buckets of a table are split eightfold between two upserts."""
+    orders = fixture(spark, sf_dir, "orders")
+    table = KeyedTable(spark, scratch_path(spark, "keyed"))
+    table.create(orders.where("o_orderdate < '1998-01-01'"), ["o_orderkey"], 8)
+    table.upsert(orders.where("o_orderdate >= '1999-01-01'").withColumn("o_totalprice", F.col("o_totalprice") + 1000))
+    table.grow(64)
+    between = orders.where("o_orderdate >= '1997-01-01' AND o_orderdate < '1999-01-01'")
+    table.upsert(between.withColumn("o_totalprice", F.col("o_totalprice") + 1000))
+    return table.rows().withColumn("more_buckets", F.lit(table.buckets == 64))
+
+
+@register("""
+SELECT o_orderkey, o_totalprice,
+       CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert brings a column that the table lacks."""
+    orders = fixture(spark, sf_dir, "orders")
+    table = KeyedTable(spark, scratch_path(spark, "keyed"))
+    table.create(orders.where("o_orderdate < '1998-01-01'").select("o_orderkey", "o_totalprice"), ["o_orderkey"],
+                 buckets_for(spark, sf_dir, "orders"))
+    arriving = orders.where("o_orderdate >= '1997-01-01'").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    table.upsert(arriving, evolve=True)
+    return table.rows()
+
+
 def _settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One load setting per customer, as if each were a source of its own."""
     return fixture(spark, sf_dir, "customer").select(

@@ -158,6 +158,24 @@ def sink_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_evolving(spark, path).select("o_orderkey", "o_totalprice", "o_orderpriority")
 
 
+@register("""
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' THEN o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderstatus END AS o_orderstatus
+FROM orders
+""")
+def sink_merge_schema_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder written before schemas were kept; two appends bring a column each, the
+    second in another order."""
+    path = scratch_path(spark, "legacy")
+    orders = fixture(spark, sf_dir, "orders")
+    orders.where("o_orderdate < '1996-01-01'").select("o_orderkey", "o_totalprice").write.parquet(path)
+    middle = orders.where("o_orderdate >= '1996-01-01' AND o_orderdate < '1998-01-01'")
+    sinks.append_evolving(middle.select("o_orderkey", "o_totalprice", "o_orderpriority"), path)
+    late = orders.where("o_orderdate >= '1998-01-01'")
+    sinks.append_evolving(late.select("o_orderstatus", "o_orderkey", "o_orderpriority", "o_totalprice"), path)
+    return sinks.read_evolving(spark, path)
+
+
 @register(f"""
 SELECT o_orderkey AS txn_id, DATE '2023-01-01' + CAST(o_orderkey % 730 AS INTEGER) AS txn_date,
        o_orderkey % 100000 AS customer_id, o_orderkey % 5000 AS product_id,

@@ -160,3 +160,20 @@ def test_a_retry_without_rows_leaves_none(spark, folder):
     assert spark.read.parquet(path).where("_run_id = 'r:1'").count() == 5
     assert sinks.append_run(rows.limit(0), path, "r:1") == 0
     assert sinks.read_run(spark, path, "r:1").count() == 0
+
+
+def test_evolving_folder_that_has_no_schema_yet(spark, folder):
+    path = folder("legacy")
+    spark.createDataFrame([(1, "a")], "id int, name string").write.parquet(path)
+    sinks.append_evolving(spark.createDataFrame([(2, 9.5)], "id int, price double"), path)
+    sinks.append_evolving(spark.createDataFrame([(3, True)], "id int, good boolean"), path)
+    rows = sinks.read_evolving(spark, path)
+    assert rows.columns == ["id", "name", "price", "good"]
+    assert rows_of(rows) == [(1, "a", None, None), (2, None, 9.5, None), (3, None, None, True)]
+
+
+def test_schemas_of_two_appends_at_once_are_joined(spark, folder):
+    path = folder("both")
+    for schema in ("id int, a int", "id int, b string, c int"):
+        sinks.store_schema(spark, path, spark.createDataFrame([], schema).schema)
+    assert sinks.stored_schema(spark, path).names == ["id", "a", "b", "c"]

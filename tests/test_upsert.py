@@ -124,6 +124,103 @@ def test_driver_lost_within_a_commit(spark, folder, monkeypatch, lost_at, replay
     assert rows_of(KeyedTable(spark, table.path).rows()) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("steps", [0, 1, 2])
+def test_a_reader_between_the_steps_of_a_move(spark, folder, monkeypatch, steps):
+    """It sees the committed rows and changes no file; the next writer ends the move."""
+    old = [(k, "a", 0) for k in range(40)]
+    table = _table(spark, folder, old, buckets=4)
+    batch = _frame(spark, [(k, "hit", 1) for k in range(30)] + [(k, "new", 1) for k in range(500, 520)])
+    new = [(k, "hit", 1) for k in range(30)] + old[30:] + [(k, "new", 1) for k in range(500, 520)]
+    original, calls = table._rename, []
+
+    def lose(*args):
+        calls.append(args)
+        if len(calls) > steps:
+            raise RuntimeError("driver lost")
+        return original(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table, "_rename", lose)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            table.upsert(batch)
+    files = _files(table)
+    reader = KeyedTable(spark, table.path)
+    assert rows_of(reader.rows()) == sorted(new, key=repr) and _files(table) == files
+    KeyedTable(spark, table.path).upsert(_frame(spark, [(900, "z", 2)]))
+    assert rows_of(reader.rows()) == sorted([*new, (900, "z", 2)], key=repr)
+    assert not [name for name in os.listdir(table.path) if name.startswith("_staged") or name == "_pending"]
+
+
+def test_what_an_incomplete_commit_left_is_removed(spark, folder, monkeypatch):
+    table = _table(spark, folder, [(1, "a", 0)])
+    with monkeypatch.context() as patch:
+        patch.setattr(table, "_set_record", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            table.upsert(_frame(spark, [(2, "b", 0)]))
+    assert [name for name in os.listdir(table.path) if name.startswith("_staged")]
+    KeyedTable(spark, table.path).append(_frame(spark, [(3, "c", 0)]))
+    assert not [name for name in os.listdir(table.path) if name.startswith("_staged")]
+    assert rows_of(table.rows()) == [(1, "a", 0), (3, "c", 0)]
+
+
+def test_further_columns_raise_or_evolve(spark, folder):
+    table = _table(spark, folder, [(1, "a", 0), (2, "b", 0)])
+    more = spark.createDataFrame([(2, "B", 1, 9.5), (3, "c", 1, 1.5)], "k int, v string, t int, price double")
+    for write in (table.upsert, table.append, table.insert_if_absent):
+        with pytest.raises(ValueError, match="price"):
+            write(more)
+    metrics = table.upsert(more, evolve=True)
+    assert (metrics.updated, metrics.inserted) == (1, 1)
+    assert rows_of(KeyedTable(spark, table.path).rows()) == [(1, "a", 0, None), (2, "B", 1, 9.5), (3, "c", 1, 1.5)]
+    with pytest.raises(ValueError, match="stored as double"):
+        table.upsert(spark.createDataFrame([(1, "a", 0, "x", "y")], "k int, v string, t int, price string, other string"), evolve=True)
+
+
+def test_a_replayed_append_adds_nothing(spark, folder):
+    table = _table(spark, folder, [(1, "a", 0)])
+    first = table.append(_frame(spark, [(2, "b", 0), (2, "c", 0)]), tag="b1")
+    assert first.inserted == 2 and table.append(_frame(spark, [(2, "b", 0), (2, "c", 0)]), tag="b1") == first
+    assert table.rows().count() == 3
+
+
+def test_buckets_grow(spark, folder):
+    rows = [(k, "a", 0) for k in range(300)]
+    table = _table(spark, folder, rows, buckets=4)
+    with pytest.raises(ValueError):
+        table.grow(6)
+    table.grow(16)
+    assert KeyedTable(spark, table.path).buckets == 16 and rows_of(table.rows()) == sorted(rows, key=repr)
+    assert len([name for name in os.listdir(table.path) if name.startswith("bkt=")]) == 16
+    metrics = KeyedTable(spark, table.path).upsert(_frame(spark, [(7, "hit", 1), (999, "new", 1)]))
+    assert (metrics.updated, metrics.inserted) == (1, 1) and metrics.copied < 60
+    assert table.rows().count() == 301
+
+
+@pytest.mark.parametrize("steps", [0, 1, 3])
+def test_driver_lost_while_buckets_grow(spark, folder, monkeypatch, steps):
+    """Few rows, so that some buckets lose all of theirs."""
+    rows = [(k, "a", 0) for k in range(5)]
+    table = _table(spark, folder, rows, buckets=2)
+    original, calls = table._rename, []
+
+    def lose(*args):
+        calls.append(args)
+        if len(calls) > steps:
+            raise RuntimeError("driver lost")
+        return original(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table, "_rename", lose)
+        try:
+            table.grow(32)
+        except RuntimeError:
+            pass
+    assert rows_of(KeyedTable(spark, table.path).rows()) == rows
+    metrics = KeyedTable(spark, table.path).upsert(_frame(spark, [(3, "hit", 1)]))
+    assert (metrics.updated, metrics.inserted) == (1, 0)
+    assert rows_of(table.rows()) == [(0, "a", 0), (1, "a", 0), (2, "a", 0), (3, "hit", 1), (4, "a", 0)]
+
+
 def test_compact_rewrites_only_crowded_buckets(spark, folder):
     table = _table(spark, folder, [(k, "a", 0) for k in range(100)], buckets=4)
     for step in range(3):
