@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Fixed values, here and below: statuses, names of the checks and their detail texts.
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
@@ -201,12 +201,18 @@ def stored_report(lines: DataFrame, path: str) -> DataFrame:
 
 
 def failing_samples(checks: TableChecks, limit: int = 20) -> DataFrame:
-    """Up to ``limit`` offending rows of each rule, as (check, row)."""
-    samples = [
-        bad_rows(checks.rows, rule.broken, limit).select(F.lit(rule.name).alias("check"), F.to_json(F.struct("*")).alias("row"))
-        for rule in checks.rules
-    ]
-    return reduce(DataFrame.unionByName, samples)
+    """Up to ``limit`` offending rows of each rule, as (check, sample_key, row).
+
+    The rows with the smallest hashes of their keys: any rows to the eye, but the same
+    at each run. One scan serves all rules, and a map task sends at most ``limit``
+    rows of each.
+    """
+    names = F.array(*[F.when(rule.broken, F.lit(rule.name)) for rule in checks.rules])
+    key = F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("null")) for name in checks.keys])
+    found = checks.rows.select(
+        F.explode(F.array_compact(names)).alias("check"), key.alias("sample_key"), F.to_json(F.struct("*")).alias("row"))
+    place = F.row_number().over(Window.partitionBy("check").orderBy(F.md5("sample_key"), "row"))
+    return found.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
 
 
 def enforce_gate(lines: DataFrame, fail_on_warn: bool = False, run_id: str | None = None) -> None:

@@ -199,15 +199,21 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.gate_counts(dq.stored_report(_full_report(spark, sf_dir), scratch_path(spark, "report")))
 
 
+def _key_sql(keys: list[str]) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({key} AS VARCHAR), 'null')" for key in keys) + ")"
+
+
 @register(f"WITH {_SOURCES_SQL} " + " UNION ALL ".join(
-    f"SELECT '{name}' AS \"check\", least(count(*), 20) AS sampled FROM {alias} WHERE {broken} HAVING count(*) > 0"
-    for alias, rules in (("detail", DETAIL_RULES), ("header", HEADER_RULES), ("history", HISTORY_RULES))
+    f"SELECT \"check\", sample_key FROM (SELECT '{name}' AS \"check\", {_key_sql(keys)} AS sample_key, "
+    f"row_number() OVER (ORDER BY md5({_key_sql(keys)})) AS place FROM {alias} WHERE {broken}) WHERE place <= 20"
+    for alias, keys, rules in (
+        ("detail", DETAIL_KEYS, DETAIL_RULES), ("header", HEADER_KEYS, HEADER_RULES), ("history", HISTORY_KEYS, HISTORY_RULES))
     for name, broken, _ in rules
 ))
 def dq_failing_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many offending rows of each rule the sample shows, 20 at most."""
+    """The offending rows that the sample of each rule shows, 20 at most."""
     samples = reduce(DataFrame.unionByName, [dq.failing_samples(checks) for checks in _tables(spark, sf_dir)])
-    return samples.groupBy("check").agg(F.count("*").alias("sampled"))
+    return samples.select("check", "sample_key")
 
 
 def _only(lines: DataFrame, *checks: str) -> DataFrame:

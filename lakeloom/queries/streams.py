@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.sinks import drop_table, land
@@ -12,7 +14,8 @@ from lakeloom.queries.registry import register
 from lakeloom.session import scratch_path
 from lakeloom.sources.files import file_stream, fixture, fixture_glob
 from lakeloom.streaming.dedup import dedup_by_event_time, dedup_by_key, dedup_within_watermark
-from lakeloom.streaming.runs import append_batches, drain, drain_batches, late_rows, state_settings, upsert_batches
+from lakeloom.streaming.memory import dedup_batches
+from lakeloom.streaming.runs import append_batches, drain, drain_batches, state_settings, stored_late_rows, upsert_batches
 
 
 def _fixture_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,15 +83,41 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, out, state = (scratch_path(spark, part) for part in ("landing", "silver", "state"))
     events = fixture(spark, sf_dir, "events")
     settings = state_settings(spark, fixture_glob(sf_dir, "events"))
-    dropped = 0
     for run, part in enumerate(("ts >= '2024-01-20'", "ts >= '2024-01-10' AND ts < '2024-01-20'", "ts < '2024-01-10'")):
         rows = events.where(part)
         land(rows.unionAll(rows).unionAll(rows), landing, f"2024020{run + 1}_000000")
         stream = file_stream(spark, f"{landing}/*", events.schema)
-        deduped = dedup_by_event_time(stream, ["user_id", "event_type", "event_id"], "ts", delay="15 days")
-        dropped += late_rows(drain(deduped, out, state, settings))
+        drain(dedup_by_event_time(stream, ["user_id", "event_type", "event_id"], "ts", delay="15 days"), out, state, settings)
     kept = spark.read.parquet(out).agg(F.count("*").alias("kept"))
-    return kept.withColumn("late", F.lit(dropped).cast("bigint"))
+    late = stored_late_rows(spark, state).agg(F.coalesce(F.sum("late"), F.lit(0)).alias("late"))
+    return kept.join(late)
+
+
+_HOT_SQL = "CASE WHEN event_id % 2 = 0 THEN 0 ELSE user_id END"
+
+
+@register(f"""
+WITH e AS (SELECT {_HOT_SQL} AS sensor, date_trunc('hour', ts) AS hour FROM events),
+mark AS (SELECT max(hour) - INTERVAL 15 DAY AS watermark FROM e)
+SELECT sensor, hour, CAST(NULL AS BIGINT) AS late FROM e, mark WHERE hour >= watermark GROUP BY sensor, hour
+UNION ALL SELECT NULL, NULL, 2 * count(*) FILTER (hour < watermark) FROM e, mark
+""")
+def stream_dedup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per key and hour where one key holds half of the rows; runs overlap,
+    and the last one brings only late rows, twice."""
+    landing, out, memory, state = (scratch_path(spark, part) for part in ("landing", "silver", "memory", "state"))
+    events = fixture(spark, sf_dir, "events").select(
+        F.expr(_HOT_SQL).alias("sensor"), F.date_trunc("hour", "ts").alias("hour"))
+    handle = dedup_batches(out, memory, ["sensor"], "hour", timedelta(days=15))
+    top = events.agg(F.max("hour").alias("top"))
+    marked = events.join(F.broadcast(top)).withColumn("is_late", F.expr("hour < top - INTERVAL 15 DAY"))  # one row
+    fresh, late = (marked.where(test).select("sensor", "hour") for test in ("NOT is_late", "is_late"))
+    for run, part in enumerate((fresh, fresh.unionAll(fresh), late.unionAll(late))):
+        land(part, landing, f"2024020{run + 1}_000000")
+        drain_batches(file_stream(spark, f"{landing}/*", events.schema), state, handle)
+    rows = spark.read.parquet(out).select("sensor", "hour", F.lit(None).cast("bigint").alias("late"))
+    counts = spark.read.parquet(f"{memory}/batches").agg(F.sum("late").alias("late"))
+    return rows.unionByName(counts, allowMissingColumns=True)
 
 
 @register("SELECT * FROM events")

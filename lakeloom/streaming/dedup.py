@@ -2,8 +2,9 @@
 
 They keep the first row of a key that arrives and send all copies of a key to one
 task, which is fit for keys with a bounded number of copies. For hot keys use
-``insert_absent_batches`` or ``upsert_batches`` in ``lakeloom.streaming.runs``: they
-deduplicate each micro-batch with map-side combining and keep the memory in a table.
+``lakeloom.streaming.memory``, or for all time ``insert_absent_batches`` or
+``upsert_batches`` in ``lakeloom.streaming.runs``: they deduplicate each micro-batch
+with map-side combining and keep the memory in a table.
 """
 
 from __future__ import annotations

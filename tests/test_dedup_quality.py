@@ -145,3 +145,20 @@ def test_checks_scan_once_and_aggregate_before_shuffling(spark, folder):
     plan = plan_of(dq.scan_checks(checks))
     physical = plan[plan.index("== Physical Plan =="):]
     assert physical.count("FileScan") == 1 and "partial_count" in physical and "unused" not in physical
+
+
+def test_samples_hold_the_rows_with_the_smallest_hashes(spark):
+    import hashlib
+    import json
+
+    rows = spark.range(0, 300, 1, 5).select(F.col("id").alias("k"), (F.col("id") % 7 - 3).alias("v"))
+    checks = dq.TableChecks("t", rows, ["k"], [], [dq.Rule("low", F.col("v") < 0), dq.Rule("three", F.col("v") == 3), dq.Rule("none", F.col("v") > 9)])
+    got = {}
+    for row in dq.failing_samples(checks, limit=4).collect():
+        got.setdefault(row["check"], []).append(json.loads(row["row"]))
+    for name, test in (("low", lambda v: v < 0), ("three", lambda v: v == 3)):
+        bad = [{"k": k, "v": k % 7 - 3} for k in range(300) if test(k % 7 - 3)]
+        want = sorted(bad, key=lambda row: hashlib.md5(str(row["k"]).encode()).hexdigest())[:4]
+        assert sorted(got[name], key=repr) == sorted(want, key=repr)
+    assert "none" not in got
+    assert plan_of(dq.failing_samples(checks)).count("WindowGroupLimit") >= 2
