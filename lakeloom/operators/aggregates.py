@@ -55,6 +55,25 @@ def distinct_estimate(df: DataFrame, keys: Iterable[str], value: str, error: flo
     return df.groupBy(*keys).agg(F.approx_count_distinct(value, error).alias(f"approx_{value}"))
 
 
+def distinct_sketches(df: DataFrame, keys: Iterable[str], value: str, lg_k: int = 12) -> DataFrame:
+    """A sketch of the distinct values per group, to be stored: groups are merged for
+    coarser keys later, so that a new day costs its own rows only."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(value, lg_k).alias(f"{value}_sketch"))
+
+
+def merged_sketches(sketches: DataFrame, keys: Iterable[str], value: str) -> DataFrame:
+    return sketches.groupBy(*keys).agg(F.hll_union_agg(f"{value}_sketch").alias(f"{value}_sketch"))
+
+
+def sketched_distinct(sketches: DataFrame, keys: Iterable[str], value: str) -> DataFrame:
+    """Estimated distinct values of coarser groups, off by about 1.04 / sqrt(2 ** lg_k)
+    (one standard error, 1.6 % for lg_k 12). A sketch united with itself is estimated
+    from its registers alone, whatever the order in which parts were merged."""
+    sketch = F.col(f"{value}_sketch")
+    return merged_sketches(sketches, keys, value).withColumn(
+        f"approx_{value}", F.hll_sketch_estimate(F.hll_union(sketch, sketch))).drop(f"{value}_sketch")
+
+
 def top_counts(df: DataFrame, key: str, k: int = 20, name: str = "row_count") -> DataFrame:
     """The k most frequent keys; equal counts are ordered by key."""
     return df.groupBy(key).agg(F.count("*").alias(name)).orderBy(F.desc(name), F.asc(key)).limit(k)

@@ -6,10 +6,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeloom.operators import aggregates as agg
+from lakeloom.operators import aggregates as agg, skew
 from lakeloom.operators.layout import cached
 from lakeloom.queries.registry import register
-from lakeloom.session import scratch_path
+from lakeloom.session import ADAPTIVE_OFF, conf_scope, scratch_path
 from lakeloom.sources.files import fixture
 
 STAR_SQL = """
@@ -129,6 +129,49 @@ def agg_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.distinct_estimate(fixture(spark, sf_dir, "lineitem"), ["l_linenumber", "l_returnflag"], "l_partkey")
 
 
+@register("""
+SELECT l_linenumber, l_returnflag, count(DISTINCT l_partkey) AS parts, TRUE AS within_bound, TRUE AS same_by_month
+FROM lineitem GROUP BY ALL
+""")
+def agg_distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct parts from stored sketches of each day; later days are added to the
+    store. Merged by day or by month first, the estimate is the same, and within four
+    standard errors of the exact count."""
+    store, groups = scratch_path(spark, "sketches"), ["l_linenumber", "l_returnflag"]
+    lines = fixture(spark, sf_dir, "lineitem").withColumn("day", F.to_date("l_shipdate"))
+    for part in ("l_shipdate < '1999-01-01'", "l_shipdate >= '1999-01-01'"):
+        agg.distinct_sketches(lines.where(part), [*groups, "day"], "l_partkey").write.mode("append").parquet(store)
+    days = spark.read.parquet(store)
+    months = agg.merged_sketches(days.withColumn("month", F.trunc("day", "month")), [*groups, "month"], "l_partkey")
+    estimate = agg.sketched_distinct(days, groups, "l_partkey")
+    by_month = agg.sketched_distinct(months, groups, "l_partkey").withColumnRenamed("approx_l_partkey", "by_month")
+    exact = lines.groupBy(*groups).agg(F.count_distinct("l_partkey").alias("parts"))
+    near = F.abs(F.col("approx_l_partkey") - F.col("parts")) <= 4 * 0.01625 * F.col("parts") + 1
+    return exact.join(estimate, groups).join(by_month, groups).select(
+        *groups, "parts", near.alias("within_bound"), (F.col("approx_l_partkey") == F.col("by_month")).alias("same_by_month"))
+
+
+@register("""
+WITH o AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END AS c_custkey, o_totalprice FROM orders)
+SELECT c_nationkey, count(*) AS row_cnt, round(sum(o_totalprice), 2) AS revenue, TRUE AS hot_key_found
+FROM o JOIN customer USING (c_custkey) GROUP BY c_nationkey
+""")
+def join_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders have one customer; without adaptive execution the join salts
+    that key alone."""
+    out = scratch_path(spark, "hot")
+    orders = fixture(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(F.col("o_custkey")).alias("c_custkey"), "o_orderkey", "o_totalprice")
+    customers = fixture(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    with conf_scope(spark, {**ADAPTIVE_OFF, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        hot = skew.hot_keys(orders, "c_custkey", share=0.05)
+        joined = skew.join_salted(orders, customers, "c_custkey", hot)
+        agg.grouped_sums(joined, {"c_nationkey": F.col("c_nationkey")}, {"revenue": F.col("o_totalprice")},
+                         count_as="row_cnt").write.parquet(out)
+    return spark.read.parquet(out).select(
+        "c_nationkey", "row_cnt", F.round("revenue", 2).alias("revenue"), F.lit(hot == [1]).alias("hot_key_found"))
+
+
 @register("""
 SELECT l_returnflag AS region, l_linestatus AS product_category, count(*) AS cnt,
        round(sum(l_extendedprice), 2) AS total_amount
