@@ -4,9 +4,9 @@ Each source's documents, in a fixed random order, form blocks. With weight w a
 share of the slots, the source's block j (from 0) may run from slot floor(j / w)
 and must have run by slot ceil((j + 1) / w); of the blocks that may run, the one
 with the earliest deadline does. At every slot a source is then less than one block
-away from its share. Weights are whole numbers out of a fixed total, so the schedule
-repeats, and only one period of it is ever computed; where a source runs out, the
-others go on in proportion with a period of their own.
+away from its share. Shares are exact fractions, so release and deadline hold for the
+weights as given; where a source runs out, the others go on in proportion, counted
+from the next slot.
 """
 
 from __future__ import annotations
@@ -16,93 +16,16 @@ import math
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
 from itertools import islice
-from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lakeloom.llm.common import require, stored
 
-#: Slots that ``whole_weights`` shares out, if not told otherwise.
-RESOLUTION = 1000
 #: Slots of the schedule that are written at once.
 BATCH = 20_000
 
 
-class Phase(NamedTuple):
-    """Slots from ``at`` on, until a source runs out; ``first`` is each source's
-    number of blocks used before, ``period`` the sources in order of slots."""
-    at: int
-    slots: int
-    first: dict
-    weights: dict
-    period: list
-
-
-def whole_weights(weights: Mapping, total: int = RESOLUTION) -> dict:
-    """Positive whole numbers that sum to ``total`` (or the number of sources, if
-    larger), by largest remainders; ties in order of the source."""
-    names = sorted(weights, key=lambda name: (name is not None, name))
-    if any(weights[name] <= 0 for name in names):
-        raise ValueError("a target weight has to be positive")
-    scale, total = sum(Fraction(weights[name]) for name in names), max(total, len(names))
-    spare = total - len(names)  # one slot each, the rest in proportion
-    exact = {name: Fraction(weights[name]) / scale * total for name in names}
-    given = {name: max(1, int(exact[name])) for name in names}
-    while sum(given.values()) > total:
-        name = max(names, key=lambda name: (given[name] - exact[name] if given[name] > 1 else -1))
-        given[name] -= 1
-    rest = sorted(names, key=lambda name: given[name] - exact[name])
-    for name in rest[:total - sum(given.values())] if spare >= 0 else []:
-        given[name] += 1
-    return given
-
-
-def period(weights: Mapping) -> list:
-    """Sources by slot for one period: earliest deadline first among released blocks.
-    Ties go to the source that is first in order."""
-    names = sorted(weights, key=lambda name: (name is not None, name))
-    total = sum(weights.values())
-    waiting = [(0, k, 0) for k in range(len(names))]  # release, source, block
-    heapq.heapify(waiting)
-    ready, out = [], []
-    for slot in range(total):
-        while waiting and waiting[0][0] <= slot:
-            _, k, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(block + 1) * total // weights[names[k]]), k, block))
-        deadline, k, block = heapq.heappop(ready)
-        out.append(names[k])
-        if block + 1 < weights[names[k]]:
-            heapq.heappush(waiting, ((block + 1) * total // weights[names[k]], k, block + 1))
-    return out
-
-
-def phases(blocks: Mapping, weights: Mapping) -> list[Phase]:
-    """The whole schedule in as many phases as there are times a source runs out."""
-    left = {name: count for name, count in blocks.items() if count > 0}
-    used, at, out = dict.fromkeys(left, 0), 0, []
-    while left:
-        active = {name: weights[name] for name in left}
-        order = period(active)
-        rounds = min(left[name] // active[name] for name in left)
-        taken = {name: rounds * active[name] for name in left}
-        slots = rounds * len(order)
-        if all(taken[name] < left[name] for name in left):
-            for name in order:  # a part of the period, up to the first last block
-                taken[name] += 1
-                slots += 1
-                if taken[name] == left[name]:
-                    break
-        out.append(Phase(at, slots, dict(used), active, order))
-        at += slots
-        for name in list(left):
-            used[name] += taken[name]
-            left[name] -= taken[name]
-            if not left[name]:
-                del left[name]
-    return out
-
-
 def exact_weights(weights: Mapping) -> dict:
     """Whole numbers in exactly the proportions of ``weights``."""
     parts = {name: Fraction(weight) for name, weight in weights.items()}

@@ -19,17 +19,23 @@ PATTERNS = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]{14,}", "hex": "[0-9a-f]{16
 KINDS = tuple(PATTERNS)
 BASE = KINDS[:3]
 _SPAN = "array<struct<start:int,kind:int,end:int,hash:string>>"
+#: Matches that are placed together; a text's matches are cut into such blocks.
+BLOCK = 256
 
 
 def _spans(text: Column, kind: str) -> Column:
-    """Spans of one kind in order, from the lengths of matches and of what is between."""
+    """Spans of one kind in order, from the lengths of matches and of what is between.
+
+    An array that grows by one is copied each time, so matches are placed block by
+    block: the starts of blocks first, then the matches within each."""
     pattern = PATTERNS[kind]
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     number = KINDS.index(kind)
+    empty = F.array().cast(_SPAN)
 
-    def add(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["before"])
+    def place(state: Column, pair: Column) -> Column:
+        start = state["at"] + pair["gap"]
         end = start + F.length(pair["hit"])
         value = F.regexp_extract(pair["hit"], pattern, 2) if kind == "assign" else pair["hit"]
         one = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), F.sha2(value, 256).alias("hash"))
@@ -42,10 +48,26 @@ def _spans(text: Column, kind: str) -> Column:
         found = F.when(good, F.concat(state["found"], F.array(one))).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    pairs = F.filter(F.arrays_zip(between.alias("before"), hits.alias("hit")), lambda pair: pair["hit"].isNotNull())
-    empty = F.array().cast(_SPAN)
-    state = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("found")), add, lambda end: end["found"])
-    return F.when(text.rlike(pattern), state).otherwise(empty)
+    def begin(state: Column, block: Column) -> Column:
+        size = F.aggregate(block, F.lit(0), lambda total, pair: total + pair["gap"] + F.length(pair["hit"]))
+        one = F.struct(state["at"].alias("at"), block.alias("pairs"))
+        return F.struct((state["at"] + size).alias("at"), F.concat(state["blocks"], F.array(one)).alias("blocks"))
+
+    pairs = F.filter(F.transform(
+        F.arrays_zip(between.alias("before"), hits.alias("hit")),
+        lambda pair: F.struct(F.length(pair["before"]).alias("gap"), pair["hit"].alias("hit"))), lambda pair: pair["hit"].isNotNull())
+    none = F.array().cast("array<struct<at:int,pairs:array<struct<gap:int,hit:string>>>>")
+
+    def in_blocks(pairs: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int")),
+                             lambda number: F.slice(pairs, number * BLOCK + 1, BLOCK))
+        begun = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), none.alias("blocks")), begin, lambda end: end["blocks"])
+        return F.flatten(F.transform(begun, lambda block: F.aggregate(
+            block["pairs"], F.struct(block["at"].alias("at"), empty.alias("found")), place, lambda end: end["found"])))
+
+    # An array of one binds the pairs, which are then not computed again for each block.
+    placed = F.get(F.transform(F.array(pairs), in_blocks), F.lit(0))
+    return F.when(text.rlike(pattern), placed).otherwise(empty)
 
 
 def _joined(spans: Column) -> Column:

@@ -11,35 +11,20 @@ from lakeloom.llm import mixing
 
 def test_less_than_one_block_away_at_every_slot():
     random.seed(2)
-    for _ in range(150):
-        weights = mixing.whole_weights({f"s{k}": random.random() + 0.001 for k in range(random.randint(1, 9))}, random.choice((12, 50, 101)))
-        order, used = mixing.period(weights), dict.fromkeys(weights, 0)
-        for slot, name in enumerate(order, 1):
+    for _ in range(60):
+        weights = {f"s{k}": random.randint(1, 60) for k in range(random.randint(1, 9))}
+        total, used = sum(weights.values()), dict.fromkeys(weights, 0)
+        for name, _, slot, _, _ in mixing.schedule({one: 3 * weight for one, weight in weights.items()}, weights):
             used[name] += 1
-            assert all(abs(used[one] - Fraction(weights[one] * slot, len(order))) < 1 for one in weights)
-        assert used == weights
+            assert all(abs(used[one] - Fraction(weights[one] * (slot + 1), total)) < 1 for one in weights)
+        assert used == {one: 3 * weight for one, weight in weights.items()}
 
 
-def test_whole_weights():
-    assert mixing.whole_weights({"a": 1, "b": 1, "c": 2}, 8) == {"a": 2, "b": 2, "c": 4}
-    assert mixing.whole_weights({"a": 1, "b": 10 ** 6}, 10) == {"a": 1, "b": 9}
-    assert sum(mixing.whole_weights({k: 1 for k in "abc"}, 10).values()) == 10
+def test_exact_weights():
+    assert mixing.exact_weights({"a": 1, "b": 1, "c": 2}) == {"a": 1, "b": 1, "c": 2}
+    assert mixing.exact_weights({"a": Fraction(1, 3), "b": 0.25}) == {"a": 4, "b": 3}
     with pytest.raises(ValueError):
-        mixing.whole_weights({"a": 0})
-
-
-def test_phases_use_every_block():
-    random.seed(3)
-    for _ in range(60):
-        names = [f"s{k}" for k in range(random.randint(1, 6))]
-        blocks = {name: random.randint(0, 40) for name in names}
-        weights = mixing.whole_weights({name: random.random() + 0.01 for name in names}, 20)
-        plan, used = mixing.phases(blocks, weights), dict.fromkeys(names, 0)
-        for phase in plan:
-            assert phase.at == sum(used.values()) and all(phase.first[name] == used[name] for name in phase.weights)
-            for slot in range(phase.slots):
-                used[phase.period[slot % len(phase.period)]] += 1
-        assert used == blocks
+        mixing.exact_weights({"a": 0})
 
 
 def _check(mixed, count, block):

@@ -123,3 +123,14 @@ def test_every_side_of_a_dialogue(spark):
 def test_very_long_turn(spark):
     frame = spark.createDataFrame([(1, 0, "a", "y" * 300_000), (1, 1, "b", "z")], "conv_id long, turn long, role string, text string")
     assert {row.speaker: len(row.text) for row in perspectives.rotate(frame).collect()}["a"] > 300_000
+
+
+def test_many_matches_in_one_text(spark):
+    """More than a block of matches of each kind, at the places plain patterns find."""
+    parts = [f"token={'x' * 14}{k} {k * 7919 + (1 << 70):x} é AKIA{'Z' * 16}{k}" for k in range(3 * secrets.BLOCK + 5)]
+    text = "\n".join(parts)
+    row = secrets.digest(secrets.scan(spark.createDataFrame([(1, text, "s", "en")], "doc_id long, text string, source string, lang string"))).first()
+    spans = sorted((m.start(), n, m.end(), kind) for n, (kind, (pattern, good)) in enumerate(BASE.items())
+                   for m in pattern.finditer(text) if good(m))
+    joined = ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in spans)
+    assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and row.n_hex == joined.count("hex")
