@@ -13,11 +13,11 @@ from lakeloom.queries.inputs import DECODED_SQL, LOAD_TIME, RUN_TIME, envelope
 from lakeloom.queries.registry import register
 from lakeloom.plans.incremental import IncrementalLoader
 from lakeloom.session import scratch_path
+from lakeloom.sources import ranges
 from lakeloom.sources.files import (
     between_dates, file_stream, fixture, fixture_glob, persisted_schema, read_files, source_folder,
 )
 from lakeloom.sources.jdbc import FrameTable
-from lakeloom.sources.ranges import CHANNELS, sales_events, transactions
 from lakeloom.streaming.runs import append_batches, drain, drain_batches
 
 # SQL of the repeatable draw in sources.ranges.
@@ -90,17 +90,22 @@ def src_multi_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged
 
 
+WAYS = ("desk", "post", "agent")
+
+
 @register(f"""
-SELECT id % 200000 AS customer_id, DATE '2023-01-01' + CAST(id % 365 AS INTEGER) AS event_date,
-       ({_draw('id', 50000)}) / 100.0::DOUBLE AS amount,
-       CAST(({_draw('id', 5, 1)}) + 1 AS INTEGER) AS units,
-       CASE id % 4 WHEN 0 THEN '{CHANNELS[0]}' WHEN 1 THEN '{CHANNELS[1]}'
-                   WHEN 2 THEN '{CHANNELS[2]}' ELSE '{CHANNELS[3]}' END AS channel
+SELECT id % 1201 + 7 AS seller_id, DATE '2019-03-04' + CAST(id % 271 AS INTEGER) AS sold_on,
+       ({_draw('id', 7919)}) / 64.0::DOUBLE AS price, CAST(({_draw('id', 11, 3)}) + 2 AS INTEGER) AS pieces,
+       CASE id % 3 WHEN 0 THEN '{WAYS[0]}' WHEN 1 THEN '{WAYS[1]}' ELSE '{WAYS[2]}' END AS way
 FROM (SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem)
 """)
 def src_range_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A computed sales table, a row for each line's key."""
-    return sales_events(fixture(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")))
+    ids = fixture(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
+    return ranges.computed(ids, {
+        "seller_id": ranges.cycle(1201, first=7), "sold_on": ranges.days("2019-03-04", 271),
+        "price": ranges.drawn(7919, "double", per=64.0), "pieces": ranges.drawn(11, "int", first=2, salt=3),
+        "way": ranges.cases(WAYS)})
 
 
 @register("""
@@ -177,20 +182,18 @@ def sink_merge_schema_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(f"""
-SELECT o_orderkey AS txn_id, DATE '2023-01-01' + CAST(o_orderkey % 730 AS INTEGER) AS txn_date,
-       o_orderkey % 100000 AS customer_id, o_orderkey % 5000 AS product_id,
-       CAST(({_draw('o_orderkey', 50000)}) / 100.0 AS DECIMAL(10,2)) AS amount
+SELECT o_orderkey AS payment_id, DATE '2021-06-15' + CAST(o_orderkey % 433 AS INTEGER) AS paid_on,
+       o_orderkey % 97 AS desk_id, CAST(({_draw('o_orderkey', 9973)}) / 100.0 AS DECIMAL(10,2)) AS amount
 FROM orders
 """)
 def sink_insert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A declared table whose first content is replaced."""
-    path = scratch_path(spark, "txn")
-    table = f"txn_{path.rsplit('-', 1)[1]}"
-    rows = transactions(fixture(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
-    sinks.create_table(
-        spark, table,
-        "txn_id BIGINT, txn_date DATE, customer_id BIGINT, product_id BIGINT, amount DECIMAL(10,2)", path,
-    )
+    path = scratch_path(spark, "payments")
+    table = f"payments_{path.rsplit('-', 1)[1]}"
+    rows = ranges.computed(fixture(spark, sf_dir, "orders"), {
+        "payment_id": lambda key: key, "paid_on": ranges.days("2021-06-15", 433), "desk_id": ranges.cycle(97),
+        "amount": ranges.drawn(9973, "decimal(10,2)", per=100.0)}, key="o_orderkey")
+    sinks.create_table(spark, table, "payment_id BIGINT, paid_on DATE, desk_id BIGINT, amount DECIMAL(10,2)", path)
     try:
         sinks.insert_overwrite(rows.withColumn("amount", F.col("amount") * 0), table)
         sinks.insert_overwrite(rows, table)

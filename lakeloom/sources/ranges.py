@@ -1,11 +1,14 @@
-"""Computed demo tables: a row id turned into columns.
+"""Computed tables: a row's id turned into columns by a specification.
 
-Random draws are replaced by a fixed integer mix of the id, so that runs repeat
-and retried tasks produce the same rows.
+A column is a function of the id: a cycle, a day, a repeatable draw or a label. Draws
+come from a fixed integer mix of the id, so that runs repeat and retried tasks produce
+the same rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values of the linear mix.
@@ -14,10 +17,11 @@ MIX_INCREMENT = 12345
 MIX_MODULUS = 2147483648
 
 # Labels of the demo tables.
-CHANNELS = ("web", "store", "partner", "mobile")
 REGIONS = ("NA", "EMEA", "APAC", "LATAM")
 TIERS = ("Bronze", "Silver", "Gold", "Platinum")
 
+Computed = Callable[[Column], Column]
+
 
 def mixed(id_column: Column, modulus: int, salt: int = 0) -> Column:
     """A repeatable draw from 0 .. modulus-1."""
@@ -32,37 +36,35 @@ def pick(labels: tuple[str, ...], position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(label) for label in labels]), index)
 
 
-def day_after(start: str, offset: Column) -> Column:
-    return F.date_add(F.lit(start).cast("date"), offset.cast("int"))
-
-
-def channel_of(id_column: Column) -> Column:
-    """Searched CASE over the id."""
-    position = F.pmod(id_column, F.lit(len(CHANNELS)))
-    case = F.when(position == 0, CHANNELS[0])
-    for index, label in enumerate(CHANNELS[1:-1], start=1):
-        case = case.when(position == index, label)
-    return case.otherwise(CHANNELS[-1])
-
-
-def sales_events(ids: DataFrame) -> DataFrame:
-    """customer_id, event_date, amount, units, channel from a column ``id``."""
-    key = F.col("id")
-    return ids.select(
-        (key % 200_000).alias("customer_id"),
-        day_after("2023-01-01", key % 365).alias("event_date"),
-        (mixed(key, 50_000) / F.lit(100.0)).alias("amount"),
-        (mixed(key, 5, salt=1) + 1).cast("int").alias("units"),
-        channel_of(key).alias("channel"),
-    )
-
-
-def transactions(ids: DataFrame) -> DataFrame:
-    key = F.col("id")
-    return ids.select(
-        key.alias("txn_id"),
-        day_after("2023-01-01", F.pmod(key, F.lit(730))).alias("txn_date"),
-        F.pmod(key, F.lit(100_000)).alias("customer_id"),
-        F.pmod(key, F.lit(5_000)).alias("product_id"),
-        (mixed(key, 50_000) / F.lit(100.0)).cast("decimal(10,2)").alias("amount"),
-    )
+def cycle(count: int, first: int = 0) -> Computed:
+    return lambda key: F.pmod(key, F.lit(count)) + F.lit(first)
+
+
+def days(first: str, count: int) -> Computed:
+    return lambda key: F.date_add(F.lit(first).cast("date"), F.pmod(key, F.lit(count)).cast("int"))
+
+
+def drawn(count: int, kind: str, per: float = 1, first: int = 0, salt: int = 0) -> Computed:
+    """A draw below ``count``, raised by ``first`` and divided by ``per``, cast to a type."""
+    def column(key: Column) -> Column:
+        value = mixed(key, count, salt) + F.lit(first)
+        return (value if per == 1 else value / F.lit(per)).cast(kind)
+
+    return column
+
+
+def cases(labels: Sequence[str]) -> Computed:
+    """Labels in turn, by a searched CASE."""
+    def column(key: Column) -> Column:
+        place = F.pmod(key, F.lit(len(labels)))
+        chosen = F.when(place == 0, labels[0])
+        for number, label in enumerate(labels[1:-1], start=1):
+            chosen = chosen.when(place == number, label)
+        return chosen.otherwise(labels[-1])
+
+    return column
+
+
+def computed(ids: DataFrame, columns: Mapping[str, Computed], key: str = "id") -> DataFrame:
+    """One row an id, with a column for each entry."""
+    return ids.select(*[make(F.col(key)).alias(name) for name, make in columns.items()])

@@ -134,8 +134,9 @@ def test_view_is_evaluated_per_read(spark, folder):
 
 
 def test_demo_tables_repeat(spark):
-    for make in (ranges.sales_events, ranges.transactions):
-        assert rows_of(make(spark.range(0, 200, numPartitions=3))) == rows_of(make(spark.range(0, 200, numPartitions=7)))
+    spec = {"a": ranges.cycle(7, first=2), "b": ranges.days("2020-02-27", 5), "c": ranges.drawn(9, "int", salt=1), "d": ranges.cases("xyz")}
+    made = [rows_of(ranges.computed(spark.range(0, 200, numPartitions=parts), spec)) for parts in (3, 7)]
+    assert made[0] == made[1] and len(made[0]) == 200
     draws = spark.range(20_000).select(ranges.mixed(F.col("id"), 10).alias("d")).groupBy("d").count().collect()
     assert len(draws) == 10 and all(1_600 < row["count"] < 2_400 for row in draws)
 
