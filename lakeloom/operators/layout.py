@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from lakeloom.session import conf_scope
-from lakeloom.sources.files import stored_bytes
+from lakeloom.sources.files import path_exists, stored_bytes
 
 TARGET_FILE_BYTES = 256 << 20
 #: Rows that cut points are taken from.
@@ -166,20 +166,32 @@ def file_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def swap_location(spark: SparkSession, table: str, path: str) -> None:
     """Point an external catalog table at a new folder. A partition keeps a location
-    of its own, so those of a partitioned table are dropped from the catalog (their
-    files stay) and found again below the new folder."""
-    place = path.replace("\\", "\\\\").replace("'", "\\'")
-    partitioned = any(column.isPartition for column in spark.catalog.listColumns(table))
-    specs = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()] if partitioned else []
-    for start in range(0, len(specs), 200):
-        parts = ", ".join(f"PARTITION {_partition(spec)}" for spec in specs[start:start + 200])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
-    if partitioned:
+    of its own, so those of a partitioned table are repointed one by one: a reader in
+    between finds old or new files of each partition, never none. Partitions that only
+    the new folder has are then added, and those that it lacks dropped from the catalog
+    (their files stay). Every step may be repeated; call it again after a failure."""
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        gone = []
+        for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
+            folder = f"{path}/{row[0]}"
+            if path_exists(spark, folder):
+                spark.sql(f"ALTER TABLE {table} PARTITION {_partition(row[0])} SET LOCATION '{_quoted(folder)}'")
+            else:
+                gone.append(_partition(row[0]))
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        for start in range(0, len(gone), 200):
+            parts = ", ".join(f"PARTITION {spec}" for spec in gone[start:start + 200])
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+    else:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
     spark.catalog.refreshTable(table)
 
 
+def _quoted(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _partition(spec: str) -> str:
     """``a=1/b=x`` as a SQL partition spec."""
     pairs = (part.split("=", 1) for part in spec.split("/"))

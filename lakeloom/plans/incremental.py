@@ -1,8 +1,13 @@
 """Metadata-driven incremental load of database tables into bronze.
 
 Two small control tables steer it: what to load (``metadata``) and how far each
-source got (``watermarks``). Both are keyed tables, so one source's state is
+source got (``watermarks``). Both are keyed tables, so some sources' states are
 changed without touching the others. Only control rows reach the driver.
+
+Each source's outcome is noted in a small file of its own as soon as it is done;
+the notes of a run enter the watermark table in one commit. A run that was cut
+short leaves its notes, and the next one takes them in before it starts. One
+loader runs at a time over a control folder.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from lakeloom.functions.shaping import with_run_lineage
 from lakeloom.operators.sinks import append_run
 from lakeloom.operators.upsert import KeyedTable
+from lakeloom.sources.files import path_exists
 
 # Columns of the control tables.
 METADATA_SCHEMA = (
@@ -71,6 +77,7 @@ class IncrementalLoader:
         self.bronze_path = bronze_path
         self.metadata = KeyedTable(spark, f"{control_path}/etl_metadata")
         self.watermarks = KeyedTable(spark, f"{control_path}/etl_watermark")
+        self.notes_path = f"{control_path}/etl_outcomes"
 
     def configure(self, rows: Iterable[Row | dict | tuple], moment: datetime) -> None:
         """Store what to load, replacing older settings of the same sources, and
@@ -90,7 +97,8 @@ class IncrementalLoader:
             parallel: int = 4) -> list[LoadResult]:
         """Load every enabled source once, a few at a time. A failed source keeps
         its watermark and gets status FAILED; the other sources still run. Each
-        source's state is stored as soon as it is done."""
+        outcome is noted as soon as it is known, and all are stored in one commit."""
+        self.settle()
         wanted = self.metadata.rows().where("enabled").where(F.col(SOURCE_KEY).isin(list(sources)))
         settings = wanted.orderBy(SOURCE_KEY).collect()
         states = {row[SOURCE_KEY]: row for row in self.watermarks.rows().collect()}
@@ -103,8 +111,9 @@ class IncrementalLoader:
             for done in as_completed(running):
                 setting = running[done]
                 result = self._outcome(setting[SOURCE_KEY], done)
-                self._record(result, setting["watermark_column"], states.get(result.source), run_id, moment)
+                self._note(result, setting["watermark_column"], states.get(result.source), run_id, moment)
                 results.append(result)
+        self.settle()
         return sorted(results, key=lambda result: result.source)
 
     def _load(self, setting: Row, state: Row | None, sources: Mapping[str, IncrementalSource],
@@ -125,8 +134,8 @@ class IncrementalLoader:
         error = done.exception()
         return done.result() if error is None else LoadResult(source, FAILED, 0, None, str(error))
 
-    def _record(self, result: LoadResult, column: str, state: Row | None, run_id: str, moment: datetime) -> None:
-        """Advance the source's row; an empty source or a failure keeps the old
+    def _note(self, result: LoadResult, column: str, state: Row | None, run_id: str, moment: datetime) -> None:
+        """Note the source's next row; an empty source or a failure keeps the old
         watermark."""
         kept = state["last_successful_watermark"] if state else None
         last_high = state["current_batch_max_watermark"] if state else None
@@ -135,4 +144,16 @@ class IncrementalLoader:
             result.watermark if result.status == SUCCESS else last_high,
             run_id, moment, result.rows, result.status, moment,
         )
-        self.watermarks.upsert(self.spark.createDataFrame([row], WATERMARK_SCHEMA))
+        self.spark.createDataFrame([row], WATERMARK_SCHEMA).coalesce(1).write.mode("append").parquet(self.notes_path)
+
+    def settle(self) -> None:
+        """Take all noted outcomes into the watermark table in one commit. Cut short
+        before the notes are emptied, it stores the same rows again: nothing is noted
+        before earlier notes are settled."""
+        if not path_exists(self.spark, self.notes_path):
+            return
+        noted = self.spark.read.schema(WATERMARK_SCHEMA).parquet(self.notes_path)
+        if noted.isEmpty():
+            return
+        self.watermarks.upsert(noted, newest=["last_run_ts"], tie_breaks=["last_run_id"])
+        self.spark.createDataFrame([], WATERMARK_SCHEMA).write.mode("overwrite").parquet(self.notes_path)

@@ -96,6 +96,11 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return int(table_detail(spark, path).first()["size_in_bytes"])
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
 def source_folder(pattern: str) -> Column:
     """A named part of the row's file path."""
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)

@@ -93,6 +93,43 @@ def test_retry_of_one_run_replaces_its_rows(spark, folder):
     assert _bronze(spark, loader).count() == 2
 
 
+def test_states_of_one_run_enter_in_one_commit(spark, folder, monkeypatch):
+    loader = _loader(spark, folder, sources=("s.a", "s.b", "s.c"))
+    commits = []
+    upsert = loader.watermarks.upsert
+    monkeypatch.setattr(loader.watermarks, "upsert", lambda df, **more: commits.append(df.count()) or upsert(df, **more))
+    loader.run({f"s.{name}": _source(spark, _hours(1, 2)) for name in "abc"}, "r1", NOW)
+    assert commits == [3]
+    assert {row["status"] for row in loader.watermarks.rows().collect()} == {SUCCESS}
+    loader.settle()
+    assert commits == [3]
+
+
+def test_notes_of_a_lost_run_are_taken_in(spark, folder, monkeypatch):
+    places = {name: folder(name) for name in ("control", "bronze")}
+    loader = _loader(spark, places.get, sources=("s.a", "s.b"))
+    monkeypatch.setattr(loader, "settle", lambda: None)
+    loader.run({"s.a": _source(spark, _hours(1, 2))}, "r1", NOW)
+    assert _state(loader, "s.a")["status"] == NEVER_RAN
+    again = IncrementalLoader(spark, places["control"], places["bronze"])
+    results = again.run({"s.a": _source(spark, _hours(1, 2, 3)), "s.b": _source(spark, _hours(4))}, "r2", NOW)
+    assert [(r.source, r.rows) for r in results] == [("s.a", 1), ("s.b", 1)]
+    assert rows_of(_bronze(spark, again, "s.a").groupBy("_run_id").count()) == [("r1", 2), ("r2", 1)]
+
+
+def test_settling_twice_changes_nothing(spark, folder, monkeypatch):
+    """A loss after the commit and before the notes are emptied."""
+    loader = _loader(spark, folder)
+    settle = loader.settle
+    monkeypatch.setattr(loader, "settle", lambda: None)
+    loader.run({SOURCE: _source(spark, _hours(1, 2))}, "r1", NOW)
+    loader.watermarks.upsert(spark.read.parquet(loader.notes_path))
+    before = rows_of(loader.watermarks.rows())
+    settle()
+    assert rows_of(loader.watermarks.rows()) == before
+    assert spark.read.parquet(loader.notes_path).count() == 0
+
+
 def test_disabled_source_is_left_out(spark, folder):
     loader = _loader(spark, folder, enabled=False)
     assert loader.run({SOURCE: _source(spark, _hours(1))}, "r1", NOW) == []

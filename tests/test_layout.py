@@ -142,6 +142,34 @@ def test_partitions_survive_compaction_and_swap(spark, folder):
     spark.sql("DROP TABLE grid_moved")
 
 
+def test_swap_cut_short_leaves_no_partition_empty(spark, folder, monkeypatch):
+    old, new = folder("old"), folder("new")
+    rows = spark.range(400).selectExpr("id", "id % 5 AS g")
+    layout.write_partitioned_table(rows.repartition(4), "grid_cut", old, ["g"])
+    layout.write_partitioned(rows.where("g < 4").selectExpr("id + 1000 AS id", "g"), new, ["g"])
+    partition, done = layout._partition, []
+
+    def failing(spec):
+        if len(done) == 2:
+            raise RuntimeError("driver lost")
+        done.append(spec)
+        return partition(spec)
+
+    monkeypatch.setattr(layout, "_partition", failing)
+    with pytest.raises(RuntimeError):
+        layout.swap_location(spark, "grid_cut", new)
+    spark.catalog.refreshTable("grid_cut")
+    assert rows_of(spark.table("grid_cut").groupBy("g").count()) == [(g, 80) for g in range(5)]
+    assert spark.table("grid_cut").where("id >= 1000").select("g").distinct().count() == 2
+    monkeypatch.undo()
+    layout.swap_location(spark, "grid_cut", new)
+    assert rows_of(spark.table("grid_cut").groupBy("g").count()) == [(g, 80) for g in range(4)]
+    assert spark.table("grid_cut").where("id < 1000").count() == 0
+    layout.swap_location(spark, "grid_cut", new)
+    assert spark.table("grid_cut").count() == 320
+    spark.sql("DROP TABLE grid_cut")
+
+
 def test_spread_is_the_same_when_repeated(spark):
     rows = spark.range(1000).select(F.lit(1).alias("k"), "id")
     parts = [{tuple(row) for row in layout.spread_by(rows.repartition(n), 4, "k", salts=4).select(
