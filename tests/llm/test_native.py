@@ -120,6 +120,28 @@ def test_every_side_of_a_dialogue(spark):
     assert perspectives.rotate(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("part_turns", [1, 7])
+def test_parts_joined_are_the_whole_dialogue(spark, part_turns):
+    """Texts of the parts follow each other, and masks move by the texts before."""
+    rows = [(c, None if k % 17 == 5 else k, "abc"[(k + k // 5 + c) % 3] if k else "system", f"é{k}" * (k % 4))
+            for c in range(3) for k in range(40 * c + 3)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+
+    def joined(part_turns):
+        sides = {}
+        for row in sorted(perspectives.rotate(turns, part_turns).collect(), key=lambda row: row.part):
+            text, masks, n = sides.get((row.conv_id, row.speaker), ("", [], 0))
+            moved = [(len(text) + span.start, len(text) + span.end) for span in row.masks]
+            sides[row.conv_id, row.speaker] = text + row.text, masks + moved, n + row.n_turns
+        return sides
+
+    whole = joined(1 << 30)
+    assert joined(part_turns) == whole and len(whole) == 8
+    for (conv, speaker), (text, masks, n) in whole.items():
+        assert n == 40 * conv + 3
+        assert all(text[start - 14:start] == "<|assistant|>\n" and text[:end].endswith("<|end|>\n") for start, end in masks)
+
+
 def test_very_long_turn(spark):
     frame = spark.createDataFrame([(1, 0, "a", "y" * 300_000), (1, 1, "b", "z")], "conv_id long, turn long, role string, text string")
     assert {row.speaker: len(row.text) for row in perspectives.rotate(frame).collect()}["a"] > 300_000

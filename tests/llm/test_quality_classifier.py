@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.llm import quality_classifier, toxicity
+from tests.llm.conftest import SF
 
 
 def test_held_out_accuracy(spark):
@@ -34,6 +35,56 @@ def test_posteriors_match_plain_sums(spark):
         assert row.host_strength == pytest.approx(max(prior * (1 - prior) / between - 1, 1.0), rel=1e-6)
 
 
+def _strength(spread, mean):
+    return min(max(mean * (1 - mean) / max(spread, 1e-9) - 1, 1.0), 1e4)
+
+
+def _between(values, sites):
+    """Variance between site means beyond what their sizes explain."""
+    members = [values[sites == site] for site in sorted(set(sites))]
+    weights = np.array([len(one) for one in members]) / len(values)
+    means, noise = np.array([one.mean() for one in members]), np.array([one.var() / len(one) for one in members])
+    return max((weights * means ** 2).sum() - values.mean() ** 2 - (weights * noise).sum(), 0.0)
+
+
+def test_scores_match_brute_force(spark, documents):
+    """Every posterior summed anew over all other rows of the site, and every score from it."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    docs = documents.withColumn("source", F.when(F.col("doc_id") % 7 != 0, F.col("source")))
+    got = quality_classifier.classify(docs, labels).join(docs.select("doc_id", "source", "lang"), "doc_id").toPandas()
+    assert len(got) == documents.count()
+    p = got.evidence.to_numpy()
+    host = np.array([str(value) for value in got.source])
+    path = np.array([f"{one}/{two}" for one, two in zip(host, got.lang)])
+    prior = p.mean()
+    of_hosts, of_paths = _between(p, host), _between(p, path)
+    host_strength, path_strength = _strength(of_hosts, prior), _strength(max(of_paths - of_hosts, 0.0), prior)
+
+    def logit(value):
+        value = min(max(value, quality_classifier.SMALL), 1 - quality_classifier.SMALL)
+        return np.log(value / (1 - value))
+
+    for k, row in enumerate(got.itertuples()):
+        others = np.arange(len(p)) != k
+        same_host, same_path = p[others & (host == host[k])], p[others & (path == path[k])]
+        of_host = (prior * host_strength + same_host.sum()) / (host_strength + len(same_host))
+        of_path = (of_host * path_strength + same_path.sum()) / (path_strength + len(same_path))
+        score = 1 / (1 + np.exp(-(logit(p[k]) - logit(prior) + logit(of_path))))
+        assert (row.host_posterior, row.path_posterior, row.score) == pytest.approx((of_host, of_path, score), rel=1e-6)
+        assert row.kept == (row.score >= 0.5)
+
+
+def test_evidence_is_the_best_logistic_fit():
+    """The penalised loss has no slope at the weights found."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(400, 7))
+    y = (x @ draw.normal(size=7) + draw.normal(size=400) > 0).astype(float)
+    w = quality_classifier.fit_logistic(x, y)
+    held = np.hstack([x, np.ones((400, 1))])
+    slope = held.T @ (1 / (1 + np.exp(-held @ w)) - y) + np.append(np.ones(7), 1e-6) * w
+    assert np.abs(slope).max() < 1e-6
+
+
 def test_sparse_sites_shrink(spark):
     good, bad = "The quick tea is fine, and we walk on in the sun today.", "### ### $$$ $$$ %%% ###"
     rows = [(k, good if k % 2 else bad, "big" if k < 300 else "good" if k % 2 else "bad", "p") for k in range(600)]
