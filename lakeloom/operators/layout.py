@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark import StorageLevel
@@ -16,13 +17,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from lakeloom.session import conf_scope
-from lakeloom.sources.files import path_exists, stored_bytes
+from lakeloom.sources.files import path_exists, stored_bytes, subfolders
 
 TARGET_FILE_BYTES = 256 << 20
 #: Rows that cut points are taken from.
 SAMPLE_ROWS = 20_000
 Z_VALUE = "_z"
 _SPREAD = "_spread"
+_FOLDER = "_folder"
+#: A writing task keeps up to so many partition folders open and sorts its rows only
+#: beyond them, so that it need not hold all of its rows.
+OPEN_FOLDERS = {"spark.sql.maxConcurrentOutputFileWriters": "16"}
 
 
 def files_for(total_bytes: int, file_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -51,6 +56,18 @@ def write_partitioned(df: DataFrame, target: str, columns: Sequence[str], mode:
     df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(target)
 
 
+def one_file_each(df: DataFrame, target: str, column: str, staged: str) -> None:
+    """Store ``df`` as one file per value of ``column`` (few values, null is one).
+    All tasks first cut their rows into a folder per value below ``staged``; then one
+    task per value packs its folder, so none reads rows of another value."""
+    with conf_scope(df.sparkSession, OPEN_FOLDERS):
+        df.withColumn(_FOLDER, F.col(column)).write.partitionBy(_FOLDER).option("compression", "zstd").parquet(staged)
+    each = [df.sparkSession.read.schema(df.schema).parquet(folder).coalesce(1)
+            for folder in subfolders(df.sparkSession, staged) if f"/{_FOLDER}=" in folder]
+    with conf_scope(df.sparkSession, {"spark.sql.unionOutputPartitioning": "false"}):  # else one task takes all
+        reduce(DataFrame.union, each).write.parquet(target)
+
+
 def write_partitioned_table(df: DataFrame, table: str, path: str, columns: Sequence[str]) -> None:
     """As ``write_partitioned``, as an external catalog table. The catalog knows
     the partitions, so a filtered read lists only the folders it needs; reading

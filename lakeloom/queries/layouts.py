@@ -182,8 +182,7 @@ def layout_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layout_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File count and bytes of lineitem, stored as one file a line number."""
     path = scratch_path(spark, "lines")
-    for row in fixture(spark, sf_dir, "lineitem").select("l_linenumber").distinct().collect():
-        fixture(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == row[0]).coalesce(1).write.mode("append").parquet(path)
+    layout.one_file_each(fixture(spark, sf_dir, "lineitem"), path, "l_linenumber", scratch_path(spark, "parts"))
     detail = table_detail(spark, path)
     return detail.select(F.col("num_files").cast("bigint").alias("num_files"), (F.col("size_in_bytes") > 0).alias("has_bytes"))
 

@@ -101,6 +101,12 @@ def path_exists(spark: SparkSession, name: str) -> bool:
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
 
+def subfolders(spark: SparkSession, name: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sorted(str(entry.getPath()) for entry in files.listStatus(path) if entry.isDirectory())
+
+
 def source_folder(pattern: str) -> Column:
     """A named part of the row's file path."""
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)

@@ -224,3 +224,20 @@ def test_cached_table_serves_sql_and_is_freed(spark, folder):
 
 def test_timed_runs(spark):
     assert len(layout.timed(lambda: spark.range(10), runs=2)) == 2
+
+
+def test_one_file_each_value(spark, folder):
+    """Whole rows in one file a value, a null among them; a packing task reads no rows
+    of another value, however many tasks had them."""
+    source, path, staged = folder("source"), folder("each"), folder("staged")
+    rows = spark.range(900).select(F.expr("nullif(id % 4, 3)").cast("int").alias("k"), F.col("id"))
+    rows.repartition(6).write.parquet(source)
+    layout.one_file_each(spark.read.parquet(source), path, "k", staged)
+    stored = spark.read.parquet(path)
+    assert stored.schema == spark.read.parquet(source).schema and rows_of(stored) == rows_of(rows)
+    assert len(_files(path)) == 4
+    each = stored.groupBy(F.col("_metadata.file_name")).agg(F.collect_set(F.coalesce("k", F.lit(-1))).alias("k")).collect()
+    assert sorted(row["k"] for row in each) == [[-1], [0], [1], [2]]
+    parts = [spark.read.parquet(os.path.join(staged, name)) for name in os.listdir(staged) if "=" in name]
+    assert len(parts) == 4 and sum(part.count() for part in parts) == 900
+    assert all(part.select("k").distinct().count() == 1 for part in parts)
