@@ -13,6 +13,8 @@ from lakeloom.sources.files import fixture, fixture_glob, stored_bytes, stored_f
 
 #: Layout jobs move whole rows, so whole rows are compared.
 LINES_SQL = "SELECT * FROM lineitem"
+#: Bytes of lineitem for each large file of a folder with large and small ones.
+LARGE_FILE_BYTES = 128 << 20
 
 
 def _files(spark: SparkSession, sf_dir: str) -> int:
@@ -79,19 +81,20 @@ SELECT *, CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 'left alone' ELSE '
        TRUE AS fewer_files FROM lineitem
 """)
 def layout_compact_small(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder with large and small files; only the small ones are rewritten."""
+    """A folder with large and small files; only the small ones are rewritten. A large
+    file is one task's work, so a larger table has more of them."""
     path = scratch_path(spark, "mixed")
     lines = fixture(spark, sf_dir, "lineitem")
     early = F.col("l_shipdate") < "1998-01-01"
-    lines.where(early).coalesce(1).write.parquet(path)
-    large = stored_files(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("name")).first()["name"]
-    size = stored_bytes(spark, path)
-    lines.where(~early).repartition(24).write.mode("append").parquet(path)
-    done = clustering.compact_small(spark, path, file_bytes=size, small=0.9)
-    same = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1) == large
+    files = layout.files_for(stored_bytes(spark, fixture_glob(sf_dir, "lineitem")), LARGE_FILE_BYTES)
+    lines.where(early).repartition(files).write.parquet(path)
+    large = stored_files(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length").collect()
+    lines.where(~early).repartition(24 * files).write.mode("append").parquet(path)
+    done = clustering.compact_small(spark, path, file_bytes=min(row["length"] for row in large), small=0.9)
+    same = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).isin([row["name"] for row in large])
     return spark.read.parquet(path).select(
         *lines.columns, F.when(same, "left alone").otherwise("rewritten").alias("file_was"),
-        F.lit(done.written < done.rewritten and done.untouched == 1).alias("fewer_files"))
+        F.lit(done.written < done.rewritten and done.untouched == len(large)).alias("fewer_files"))
 
 
 @register(LINES_SQL)

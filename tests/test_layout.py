@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lakeloom.operators import layout, sinks
+from lakeloom.queries import layouts
 from lakeloom.session import conf_scope
 from lakeloom.sources.files import stored_bytes, stored_files, table_detail
 from tests.conftest import plan_of, rows_of
@@ -241,3 +242,23 @@ def test_one_file_each_value(spark, folder):
     parts = [spark.read.parquet(os.path.join(staged, name)) for name in os.listdir(staged) if "=" in name]
     assert len(parts) == 4 and sum(part.count() for part in parts) == 900
     assert all(part.select("k").distinct().count() == 1 for part in parts)
+
+
+def _lines(spark, n=6000):
+    return spark.range(n).select(
+        F.col("id").alias("l_orderkey"), F.expr("int(id % 7)").alias("l_linenumber"), F.xxhash64("id").alias("l_partkey"),
+        F.expr("timestamp_ntz '1996-01-01 00:00:00' + make_dt_interval(int(id % 1400))").alias("l_shipdate"))
+
+
+def test_large_files_grow_in_number(spark, folder, monkeypatch):
+    """A larger table has more large files, each one task's work, all left alone."""
+    base = folder("tables")
+    _lines(spark).write.parquet(f"{base}/lineitem.parquet")
+    monkeypatch.setattr(layouts, "LARGE_FILE_BYTES", stored_bytes(spark, f"{base}/lineitem.parquet") // 3)
+    stored = layouts.layout_compact_small(spark, base).withColumn("file", F.col("_metadata.file_name"))
+    flags = stored.groupBy("file_was").agg(F.countDistinct("file").alias("files"), F.every("fewer_files").alias("fewer")).collect()
+    assert {row["file_was"]: row["files"] >= 3 for row in flags} == {"left alone": True, "rewritten": True}
+    assert all(row["fewer"] for row in flags)
+    assert rows_of(stored.select(*_lines(spark).columns)) == rows_of(_lines(spark))
+    early = stored.where("l_shipdate < '1998-01-01'").select("file_was").distinct().collect()
+    assert [row[0] for row in early] == ["left alone"]
