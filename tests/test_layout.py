@@ -262,3 +262,21 @@ def test_large_files_grow_in_number(spark, folder, monkeypatch):
     assert rows_of(stored.select(*_lines(spark).columns)) == rows_of(_lines(spark))
     early = stored.where("l_shipdate < '1998-01-01'").select("file_was").distinct().collect()
     assert [row[0] for row in early] == ["left alone"]
+
+
+def test_partitioned_write_keeps_folders_open(spark, folder, monkeypatch):
+    """No task sorts its rows by folder as long as the folders are few."""
+    seen, scope = [], layout.conf_scope
+
+    def noted(session, settings):
+        seen.append(dict(settings))
+        return scope(session, settings)
+
+    monkeypatch.setattr(layout, "conf_scope", noted)
+    path = folder("parts")
+    layout.write_partitioned(_lines(spark), path, ["l_linenumber"])
+    assert seen == [{"spark.sql.maxConcurrentOutputFileWriters": "16"}]
+    assert rows_of(spark.read.parquet(path).select(*_lines(spark).columns)) == rows_of(_lines(spark))
+    many = folder("many")  # more folders than are kept open
+    layout.write_partitioned(_grid(spark), many, ["b"])
+    assert rows_of(spark.read.parquet(many).select("a", "b", "id")) == rows_of(_grid(spark))
