@@ -19,7 +19,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakeloom.operators.layout import TARGET_FILE_BYTES, cluster, file_bounds, files_for
+from lakeloom.operators.layout import SORTED_FILE_BYTES, TARGET_FILE_BYTES, cluster, file_bounds, files_for
 from lakeloom.sources.files import stored_files
 
 RUN = "run"
@@ -82,7 +82,7 @@ def new_files(spark: SparkSession, path: str, target: str) -> DataFrame:
 
 
 def cluster_new(spark: SparkSession, path: str, target: str, columns: Sequence[str],
-                file_bytes: int = TARGET_FILE_BYTES, bits: int = 8) -> int:
+                file_bytes: int = SORTED_FILE_BYTES, bits: int = 8) -> int:
     """Cluster the files below ``path`` that are new since the last run and add them
     to ``target``; returns how many were taken. A run that was cut short comes first."""
     numbers, ended = _runs(spark, target)

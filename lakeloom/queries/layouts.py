@@ -18,7 +18,7 @@ LARGE_FILE_BYTES = 128 << 20
 
 
 def _files(spark: SparkSession, sf_dir: str) -> int:
-    return max(16, layout.files_for(stored_bytes(spark, fixture_glob(sf_dir, "lineitem"))))
+    return max(16, layout.files_for(stored_bytes(spark, fixture_glob(sf_dir, "lineitem")), layout.SORTED_FILE_BYTES))
 
 
 @register(LINES_SQL)
@@ -70,7 +70,8 @@ def layout_file_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A narrow lookup in a clustered table opens the files whose stored ranges match."""
     source, target = scratch_path(spark, "source"), scratch_path(spark, "clustered")
     fixture(spark, sf_dir, "lineitem").write.parquet(source)
-    clustering.cluster_new(spark, source, target, ["l_partkey", "l_suppkey"], file_bytes=stored_bytes(spark, source) // 16)
+    file_bytes = min(stored_bytes(spark, source) // 16, layout.SORTED_FILE_BYTES)
+    clustering.cluster_new(spark, source, target, ["l_partkey", "l_suppkey"], file_bytes=file_bytes)
     found, opened = clustering.read_matching(spark, target, {"l_partkey": (40, 55), "l_suppkey": (3, 9)})
     files = clustering.stored_bounds(spark, target).count()
     return found.withColumn("half_of_files_or_less", F.lit(opened <= files / 2))

@@ -126,3 +126,19 @@ def test_partition_columns_of_the_source_are_kept(spark, folder):
     _grid(spark, 0, 128).write.partitionBy("b").parquet(source)
     clustering.cluster_new(spark, source, target, ["a", "b"])
     assert rows_of(clustering.read_clustered(spark, target).select("a", "b", "id")) == rows_of(_grid(spark, 0, 128))
+
+
+def test_a_sorting_task_is_bounded(spark, folder, monkeypatch):
+    """640 MB are clustered by ten sorting tasks."""
+    source, target, asked = folder("source"), folder("target"), []
+    _grid(spark, 0, 100).coalesce(1).write.parquet(source)
+    listing, original = clustering.stored_files, clustering.cluster
+    monkeypatch.setattr(clustering, "stored_files", lambda *a: listing(*a).withColumn("length", F.lit(640 << 20).cast("bigint")))
+
+    def noted(rows, folder, columns, files, bits):
+        asked.append(files)
+        original(rows, folder, columns, files, bits)
+
+    monkeypatch.setattr(clustering, "cluster", noted)
+    clustering.cluster_new(spark, source, target, ["a", "b"])
+    assert asked == [10] and clustering.read_clustered(spark, target).count() == 100

@@ -280,3 +280,8 @@ def test_partitioned_write_keeps_folders_open(spark, folder, monkeypatch):
     many = folder("many")  # more folders than are kept open
     layout.write_partitioned(_grid(spark), many, ["b"])
     assert rows_of(spark.read.parquet(many).select("a", "b", "id")) == rows_of(_grid(spark))
+
+
+def test_files_to_cluster_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(layouts, "stored_bytes", lambda *_: 6 << 30)
+    assert layouts._files(spark, "/none") == 96
