@@ -322,18 +322,19 @@ class KeyedTable:
         done = self._done(tag)
         if done:
             return done
-        join_keys = [BUCKET, *self.keys]
+        keys = self.keys  # they name the bucket; the source is dealt by them already, so joins by them do not shuffle it
         with self._incoming(df, newest, tie_breaks, evolve) as (source, per_bucket):
             if not per_bucket:
                 return UpsertMetrics(0, 0, 0, 0)
-            matched = matched_keys(self._buckets(per_bucket), source, join_keys).persist(StorageLevel.MEMORY_AND_DISK)
+            matched = matched_keys(self._buckets(per_bucket), source, keys).withColumn(
+                BUCKET, bucket_of(keys, self.buckets)).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 hits = {row[BUCKET]: row["count"] for row in matched.groupBy(BUCKET).count().collect()}
-                new = source.join(matched, join_keys, "left_anti") if hits else source
+                new = source.join(matched.select(*keys), keys, "left_anti") if hits else source
                 rows = new.withColumn("_matched", F.lit(None).cast("boolean"))
                 if hits:
                     rows = _updated(
-                        self._buckets(hits), source.where(F.col(BUCKET).isin(list(hits))), join_keys, newest if only_newer else ()
+                        self._buckets(hits), source.where(F.col(BUCKET).isin(list(hits))), keys, newest if only_newer else ()
                     ).unionByName(rows)
                 total = sum(per_bucket.values())
                 return self._stage(rows, total, total - sum(hits.values()), sorted(hits), tag)
@@ -345,7 +346,7 @@ class KeyedTable:
         self.recover()
         with self._incoming(df, newest, tie_breaks) as (source, per_bucket):
             if per_bucket:
-                fresh = absent_rows(self._buckets(per_bucket), source, [BUCKET, *self.keys])
+                fresh = absent_rows(self._buckets(per_bucket), source, self.keys)
                 self._stage(fresh.withColumn("_matched", F.lit(None).cast("boolean")), None, None, [], None)
 
     def compact(self, max_files: int = 8) -> int:

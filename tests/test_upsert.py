@@ -5,7 +5,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lakeloom.operators.upsert import KeyedTable, bucket_count, insert_absent, merged, replace_listed, set_where
-from tests.conftest import rows_of
+from lakeloom.session import conf_scope
+from tests.conftest import plan_of, rows_of
 
 SCHEMA = "k int, v string, t int"
 
@@ -285,3 +286,23 @@ def test_frame_level_changes(spark):
 
 def test_bucket_count():
     assert bucket_count(0) == 1 and bucket_count((256 << 20) + 1) == 2
+
+
+def test_upsert_shuffles_the_source_once(spark, folder, monkeypatch):
+    """The source is dealt by key when its latest rows are found; the joins take it so."""
+    table, plans, stage = KeyedTable(spark, folder("keyed")), [], KeyedTable._stage
+
+    def noted(self, df, *args):
+        plans.append(plan_of(df))
+        return stage(self, df, *args)
+
+    monkeypatch.setattr(KeyedTable, "_stage", noted)
+    rows = spark.range(400).selectExpr("cast(id AS string) AS k", "id AS v")
+    with conf_scope(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        table.create(rows.where("v < 300"), ["k"], 8)
+        metrics = table.upsert(rows.where("v >= 100").withColumn("v", F.col("v") + 1000), ["v"])
+        table.insert_if_absent(rows.selectExpr("cast(v + 200 AS string) AS k", "v"), ["v"])
+    assert (metrics.updated, metrics.inserted, metrics.copied) == (200, 100, 100)
+    assert len(plans) == 2 and not any("hashpartitioning(bkt" in plan for plan in plans)
+    wanted = {str(v): v if v < 100 else v + 1000 for v in range(400)} | {str(v + 200): v for v in range(200, 400)}
+    assert rows_of(table.rows()) == sorted(wanted.items(), key=repr)
