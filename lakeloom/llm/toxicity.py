@@ -174,8 +174,8 @@ def _text_counts(text: np.ndarray, word: np.ndarray, held: np.ndarray, begins: n
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1500, longest: int = 10_000) -> Model:
     """Fit on about ``per_class`` labelled documents of each class, chosen by a hash
     of doc_id among those not held out and of at most ``longest`` characters. These
-    two parameters bound what reaches the driver. Labels of repeated rows must
-    agree; a document called toxic once counts as toxic."""
+    two parameters bound the one task that fits; the driver gets the model alone.
+    Labels of repeated rows must agree; a document called toxic once counts as toxic."""
     require(labels, "doc_id", "toxic")
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -184,8 +184,24 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1500, longest: in
     share = F.when(F.col("toxic") == 1, per_class / max(sizes.get(1, 0), 1)).otherwise(per_class / max(sizes.get(0, 0), 1))
     chosen = known.where(chance < share).limit(4 * per_class)
     rows = docs.where(F.length("text") <= longest).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(
-        8 * per_class).toArrow().sort_by("doc_id")
-    return fit(rows.column("text").to_pylist(), np.asarray(rows.column("toxic")) == 1)
+        8 * per_class)
+    return _fitted(rows)
+
+
+def _fitted(rows: DataFrame) -> Model:
+    """``fit`` to doc_id, text and toxic, in one task in order of doc_id. What fitting
+    holds, many times the texts, is not the driver's."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if held := [batch for batch in batches if batch.num_rows]:
+            ordered = pa.Table.from_batches(held).sort_by("doc_id")
+            model = fit(ordered.column("text").to_pylist(), np.asarray(ordered.column("toxic")) == 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
+
+    found = rows.select("doc_id", "text", "toxic").coalesce(1).mapInArrow(run, "weights binary, bias double").toArrow()
+    if not found.num_rows:
+        return fit([], np.zeros(0, bool))
+    return Model(np.frombuffer(found.column("weights")[0].as_py(), np.float32), found.column("bias")[0].as_py())
 
 
 def _score_part(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

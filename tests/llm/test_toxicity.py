@@ -1,5 +1,6 @@
 """Held-out accuracy, the noisy-or, and where sentences stand."""
 
+import os
 import zlib
 
 import numpy as np
@@ -52,6 +53,23 @@ def test_without_labels(no_docs, odd_docs, spark):
     assert toxicity.learn(no_docs, nulls).bias < 0
 
 
+def test_fits_in_a_task(spark, monkeypatch):
+    """Fitting takes many times its texts; the driver, whose memory is short, gets the model alone."""
+    driver, fit = os.getpid(), toxicity.fit
+
+    def away(*given):
+        assert os.getpid() != driver, "fitted on the driver"
+        return fit(*given)
+
+    rows = [(k, f"The {k % 7} tea is fine. " + ("You zork!" if k % 2 else "We walk."), k % 2) for k in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    known = [row for row in rows if zlib.crc32(str(row[0]).encode()) % 3 != 1]
+    expected = fit([text for _, text, _ in known], np.array([toxic for *_, toxic in known]))
+    monkeypatch.setattr(toxicity, "fit", away)
+    model = toxicity.learn(frame.select("doc_id", "text").repartition(5), frame.select("doc_id", "toxic"), per_class=10_000)
+    assert np.array_equal(model.weights, expected.weights) and model.bias == expected.bias
+
+
 def test_held_out(spark):
     docs = spark.createDataFrame([(k,) for k in range(50)] + [(None,)], "doc_id long")
     for row in docs.select("doc_id", toxicity.held_out(docs.doc_id).alias("out")).collect():
